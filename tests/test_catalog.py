@@ -1,0 +1,49 @@
+"""Every registered query against DuckDB on whole tables."""
+
+import math
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+from placelens.plans.catalog import QUERIES, TABLES
+from placelens.plans.oracles import ORACLES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    connection.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return connection
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else round(value, 9)
+    return value
+
+
+def _rows(rows, columns, order):
+    places = [columns.index(name) for name in order]
+    return Counter(tuple(_cell(row[place]) for place in places) for row in rows)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_matches_sql(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    found = duck.execute(ORACLES[name])
+    columns = [column[0] for column in found.description]
+    assert sorted(result.columns) == sorted(columns)
+    expected = found.fetchall()
+    assert expected, "the SQL finds nothing, so it proves nothing"
+    order = sorted(columns)
+    assert _rows(result.collect(), result.columns, order) == _rows(expected, columns, order)

@@ -14,7 +14,7 @@ TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 RUN_SECONDS = 600
 
 
-def day_tag(moment: Column) -> Column:
+def day_tag(moment: Column | str) -> Column:
     return F.date_format(moment, DAY_FORMAT)
 
 
@@ -48,7 +48,7 @@ def midnight(moment: Column) -> Column:
     return F.date_trunc("day", moment)
 
 
-def epoch_seconds(moment: Column) -> Column:
+def epoch_seconds(moment: Column | str) -> Column:
     return F.unix_timestamp(moment)
 
 

@@ -1,12 +1,14 @@
 """Text, number and null expressions."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns that decide which texts count as integers, clean tokens or date suffixes.
 INTEGER_PATTERN = r"^[-+]?[0-9]*\z"
 CLEAN_TOKEN_PATTERN = r"^[a-zA-Z0-9|_-]*\z"
-DATE_SUFFIX_PATTERN = r"^(?s)(.+)(?:[0-9]{2}|\+[0-9]|-0)(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])\z"
+DATE_SUFFIX_PATTERN = r"(?:[0-9]{2}|\+[0-9]|-0)(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])"
 
 # Fixed value: the text that log writers put in place of a missing visitor.
 MISSING_TEXT = "null"
@@ -17,10 +19,9 @@ def java_split(text: Column, separator: str) -> Column:
 
     Text made only of separators has no parts; empty text has one empty part.
     """
-    sep = "\\" + separator if separator in r".?*+|()[]{}^$\\" else separator
-    only_separators = F.array().cast("array<string>")
-    trimmed = F.regexp_replace(text, f"(?:{sep})+\\z", "")
-    return F.when((text != "") & (trimmed == ""), only_separators).otherwise(F.split(trimmed, sep))
+    trimmed = F.rtrim(text, F.lit(separator))
+    no_parts = F.array().cast("array<string>")
+    return F.when((text != "") & (trimmed == ""), no_parts).otherwise(F.split(trimmed, re.escape(separator)))
 
 
 def is_integer(text: Column) -> Column:
@@ -34,14 +35,12 @@ def is_clean_token(text: Column) -> Column:
 
 def trim_date_suffix(text: Column, times: int = 1) -> Column:
     """Drop a trailing yyMMdd, up to `times` times; something must remain in front of it."""
-    for _ in range(times):
-        text = F.regexp_replace(text, DATE_SUFFIX_PATTERN, "$1")
-    return text
+    return F.regexp_replace(text, rf"^(?s)(.+?)(?:{DATE_SUFFIX_PATTERN}){{1,{times}}}\z", "$1")
 
 
 def trim_special(text: Column) -> Column:
     """Remove backslashes and single quotes."""
-    return F.translate(text, "\\'", "")
+    return F.replace(F.replace(text, F.lit("\\")), F.lit("'"))
 
 
 def null_default(value: Column, default) -> Column:

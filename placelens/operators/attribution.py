@@ -100,7 +100,4 @@ def slot_traffic(
 
 def slot_report(slots: DataFrame, traffic: DataFrame, keys: list[str] = SLOT_KEYS) -> DataFrame:
     """Every slot row with its traffic; slots without traffic keep NULL metrics."""
-    # Traffic has one row per distinct slot interval at most; four counters come on top of the key.
-    key = slots.select(*keys, *INTERVAL)
-    fits = fits_broadcast(key, F.lit(2))
-    return balanced_join(slots, traffic, [*keys, *INTERVAL], "left", side_fits=fits)
+    return slots.join(traffic, [*keys, *INTERVAL], "left")

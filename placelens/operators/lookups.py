@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelens.functions.urls import SLOT_ID_DIGITS, url_id
-from placelens.operators.joins import balanced_join
 
 
 def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
@@ -23,7 +22,7 @@ def lookup_fallback(
     names = lookup.select(F.col(key), F.col(name).alias("_name"))
     if dedup:
         names = one_per_key(names, key)
-    joined = balanced_join(df, names, [key], "left")
+    joined = df.join(names, key, "left")
     return joined.withColumn(into or name, F.coalesce("_name", key)).drop("_name")
 
 
@@ -36,9 +35,9 @@ def resolve_rooms(slots: DataFrame, rooms: DataFrame, digits: int = SLOT_ID_DIGI
     streams = rooms.select(F.col("roomkey").alias("content"), F.col("flvurl").alias("_stream"))
     if dedup:
         streams = one_per_key(streams, "content")
-    joined = balanced_join(slots, streams, ["content"], "left")
-    return (
-        joined.withColumn("url", F.coalesce("_stream", "content"))
-        .withColumn("content", F.coalesce("_stream", url_id(F.col("content"), digits)))
-        .drop("_stream")
-    )
+    joined = slots.join(streams, "content", "left")
+    found = {
+        "url": F.coalesce("_stream", "content"),
+        "content": F.coalesce("_stream", url_id(F.col("content"), digits)),
+    }
+    return joined.withColumns(found).drop("_stream")

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from placelens.functions.dates import day_tag
 from placelens.functions.text import java_split
-from placelens.operators.joins import balanced_join, fits_broadcast
 
 # Fixed value: the edit type that ends an entry.
 TOMBSTONE = "delete"
@@ -53,18 +52,11 @@ def version_intervals(
     greatest `tie` is the newest. Empty and inverted intervals are kept. Deletes stay in the result so
     that they end the version before them; see `drop_tombstones`.
     """
-    edits = history.select(key, order, F.col(tie).alias("_last"), F.col(order).alias("_next"))
-    times = next_times(history, key, order, tie, slice_unit)
-    # There are at most as many distinct times as edits, so the size of `edits` bounds `times`.
-    versions = balanced_join(history, times, [key, order], "left", side_fits=fits_broadcast(edits))
+    versions = history.join(next_times(history, key, order, tie, slice_unit), [key, order], "left")
     next_edit = F.when(F.col(tie) < F.col("_last"), F.col(order)).otherwise(F.col("_next"))
-    return (
-        versions.withColumn("real_starttime", F.greatest(start, order))
-        .withColumn("real_endtime", F.least(F.col(end), next_edit))
-        .withColumn("real_startdate", day_tag(F.col("real_starttime")))
-        .withColumn("real_enddate", day_tag(F.col("real_endtime")))
-        .drop("_last", "_next")
-    )
+    bounds = {"real_starttime": F.greatest(start, order), "real_endtime": F.least(F.col(end), next_edit)}
+    tags = {"real_startdate": day_tag("real_starttime"), "real_enddate": day_tag("real_endtime")}
+    return versions.withColumns(bounds).withColumns(tags).drop("_last", "_next")
 
 
 def drop_tombstones(versions: DataFrame, optype: str = "optype") -> DataFrame:

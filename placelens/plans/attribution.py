@@ -52,13 +52,9 @@ def slot_table(
         versions = started_on(versions, day)
     named = lookup_fallback(versions, types, "typeid", "typename", dedup=dedup)
     keyed = resolve_rooms(named.withColumn("content", strip_query(F.col("content"))), rooms, dedup=dedup)
-    return (
-        keyed.withColumn("real_starttime", epoch_seconds(F.col("real_starttime")))
-        .withColumn("real_endtime", epoch_seconds(F.col("real_endtime")))
-        .withColumn("idx", F.col("idx").cast("string"))
-        .withColumn("pagenum", F.col("pagenum").cast("string"))
-        .select(*SLOT_COLUMNS)
-    )
+    typed = {name: epoch_seconds(name) for name in ("real_starttime", "real_endtime")}
+    typed |= {name: F.col(name).cast("string") for name in ("idx", "pagenum")}
+    return keyed.withColumns(typed).select(*SLOT_COLUMNS)
 
 
 def day_span(day: str) -> tuple[int, int]:

@@ -232,13 +232,17 @@ def tsv_score_parse(spark, sf_dir):
 
 
 def _text_table(spark, sf_dir, tag_format):
-    """Write all events as lines `id <tab> value` in one folder per tag."""
+    """Write all events as lines `id <tab> value` in one folder per tag.
+
+    Many small folders want many writers; the salt keeps a busy folder from being one task's work.
+    """
     root = shared_folder(spark, "lines")
     lines = inputs.events(spark, sf_dir).select(
         F.concat_ws("\t", F.col("event_id").cast("string"), F.col("value").cast("string")).alias("value"),
         F.date_format("ts", tag_format).alias("dt"),
     )
-    lines.hint("rebalance", F.col("dt")).write.partitionBy("dt").text(root)
+    writers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines.repartition(writers, "dt", F.pmod(F.xxhash64("value"), F.lit(4))).write.partitionBy("dt").text(root)
     return root
 
 

@@ -1,171 +1,137 @@
 """The operators' inputs, derived by Spark from the whole test tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from placelens.functions.dates import day_tag, epoch_seconds
+from placelens.functions.dates import epoch_seconds
 from placelens.session import pin_utc
 
+_schemas: dict[str, StructType] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file footers once."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = pin_utc(spark).read
+    if path not in _schemas:
+        _schemas[path] = reader.parquet(path).schema
+    return reader.schema(_schemas[path]).parquet(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with `k`, the number in their properties (0 to 99)."""
-    return table(spark, sf_dir, "events").withColumn(
-        "k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    )
-
+    return table(spark, sf_dir, "events").selectExpr("*", "cast(regexp_extract(props, '([0-9]+)', 1) as int) as k")
 
-def _text(column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("string")
 
-
-def _article(site: str, query: Column) -> Column:
-    return F.concat(F.lit(f"https://site.example/{site}/"), F.lpad(_text("user_id"), 16, "0"), F.lit(".html?"), query)
+ARTICLE = "concat('https://site.example/{site}/', lpad(cast(user_id as string), 16, '0'), '.html?', {query})"
 
 
 def history(spark: SparkSession, sf_dir: str, event_type: str = "signup") -> DataFrame:
     """Edit history: each user is an entry, each of their events of one type a version."""
-    kinds = ["news", "topic", "live", "video", "ad", "test"]
-    k = F.col("k")
-    return events(spark, sf_dir).where(F.col("event_type") == event_type).select(
-        F.col("user_id").alias("id"),
-        F.col("event_id").alias("seq"),
-        F.when(k < 10, "delete").otherwise("update").alias("optype"),
-        F.when(k >= 70, F.concat(F.lit("room"), _text("user_id")))
-        .otherwise(_article("a", F.lit("from=top"))).alias("content"),
-        F.concat(F.lit("title "), _text("event_id")).alias("title"),
-        F.concat_ws(",", _text(F.col("user_id") % 25), _text(25 + k % 5)).alias("newstype"),
-        _text(F.col("user_id") % 3).alias("idx"),
-        _text(F.col("user_id") % 2).alias("pagenum"),
-        F.concat(F.lit("editor"), _text(k % 8)).alias("createuser"),
-        F.col("ts").alias("modifydate"),
-        (F.col("ts") + F.make_dt_interval(hours=6 * (k % 3))).alias("starttime"),
-        (F.col("ts") + F.make_dt_interval(days=1 + k % 20)).alias("endtime"),
-        F.get(F.array(*map(F.lit, kinds)), k % 6).alias("sourcetype"),
-        F.when(F.col("value") < 40, "main").otherwise("lite").alias("apptypeid"),
+    article = ARTICLE.format(site="a", query="'from=top'")
+    return events(spark, sf_dir).where(f"event_type = '{event_type}'").selectExpr(
+        "user_id as id",
+        "event_id as seq",
+        "if(k < 10, 'delete', 'update') as optype",
+        f"if(k >= 70, concat('room', user_id), {article}) as content",
+        "concat('title ', event_id) as title",
+        "concat_ws(',', user_id % 25, 25 + k % 5) as newstype",
+        "string(user_id % 3) as idx",
+        "string(user_id % 2) as pagenum",
+        "concat('editor', k % 8) as createuser",
+        "ts as modifydate",
+        "ts + make_dt_interval(0, 6 * (k % 3)) as starttime",
+        "ts + make_dt_interval(1 + k % 20) as endtime",
+        "get(array('news', 'topic', 'live', 'video', 'ad', 'test'), k % 6) as sourcetype",
+        "if(value < 40, 'main', 'lite') as apptypeid",
     )
 
 
-def _visitor(k: Column) -> Column:
-    return (
-        F.when(k == 0, F.lit(None)).when(k == 1, "null").when(k == 2, "")
-        .otherwise(F.concat(F.lit("v"), _text(k)))
-    )
-
-
-def _origin(k: Column) -> Column:
-    channel = F.when(k % 2 == 0, F.concat(F.lit("channel-"), _text(F.col("user_id") % 25)))
-    return F.when(k >= 95, "http://portal.example/").otherwise(F.coalesce(channel, _text(25 + k % 5)))
-
-
-def _target(site: str, k: Column) -> Column:
-    return (
-        F.when(k >= 70, F.concat(F.lit("http://live.example/"), _text("user_id"), F.lit(".flv?src=app")))
-        .when(k >= 66, F.concat(F.lit("ftp://files.example/"), _text("user_id")))
-        .otherwise(_article(site, F.concat(F.lit("x="), _text(k))))
-    )
+VISITOR = "case k when 0 then null when 1 then 'null' when 2 then '' else concat('v', k) end"
+ORIGIN = """case when k >= 95 then 'http://portal.example/' when k % 2 = 0 then concat('channel-', user_id % 25)
+  else string(25 + k % 5) end"""
+TARGET = f"""case when k >= 70 then concat('http://live.example/', user_id, '.flv?src=app')
+  when k >= 66 then concat('ftp://files.example/', user_id)
+  else {ARTICLE.format(site="{site}", query="concat('x=', k)")} end"""
+APP = "if(value < 40, 'main', 'lite')"
+TAG = "if(k % 10 < 8, '0001', '0002')"
+DAY = "date_format(ts, 'yyyyMMdd')"
 
 
 def click_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw click log."""
-    k = F.col("k")
-    return events(spark, sf_dir).where(F.col("event_type") == "click").select(
-        _visitor(k).alias("clientime"),
-        epoch_seconds(F.col("ts")).alias("dateline"),
-        _origin(k).alias("urlfrom"),
-        _text(F.col("user_id") % 3).alias("idx02"),
-        _text(F.col("user_id") % 2).alias("pgnum"),
-        _target("m", k).alias("urlto"),
-        F.when(F.col("value") < 40, "main").otherwise("lite").alias("apptypeid"),
-        F.when(k % 10 < 8, "0001").otherwise("0002").alias("suptop"),
-        day_tag(F.col("ts")).alias("dt"),
+    return (
+        events(spark, sf_dir).where("event_type = 'click'").withColumn("dateline", epoch_seconds("ts")).selectExpr(
+            f"{VISITOR} as clientime", "dateline", f"{ORIGIN} as urlfrom", "string(user_id % 3) as idx02",
+            "string(user_id % 2) as pgnum", f"{TARGET.format(site='m')} as urlto", f"{APP} as apptypeid",
+            f"{TAG} as suptop", f"{DAY} as dt",
+        )
     )
 
 
 def view_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw impression log; its place columns are numbers."""
-    k = F.col("k")
-    return events(spark, sf_dir).where(F.col("event_type") == "view").select(
-        _visitor(k).alias("ime"),
-        epoch_seconds(F.col("ts")).alias("dateline"),
-        _origin(k).alias("type"),
-        (F.col("user_id") % 3).alias("idx"),
-        (F.col("user_id") % 2).alias("pagenum"),
-        _target("v", k).alias("url"),
-        F.when(F.col("value") < 40, "main").otherwise("lite").alias("domain"),
-        F.when(k % 10 < 8, "0001").otherwise("0002").alias("newstag"),
-        day_tag(F.col("ts")).alias("dt"),
+    return (
+        events(spark, sf_dir).where("event_type = 'view'").withColumn("dateline", epoch_seconds("ts")).selectExpr(
+            f"{VISITOR} as ime", "dateline", f"{ORIGIN} as type", "user_id % 3 as idx", "user_id % 2 as pagenum",
+            f"{TARGET.format(site='v')} as url", f"{APP} as domain", f"{TAG} as newstag", f"{DAY} as dt",
+        )
     )
 
 
 def types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of the types 0 to 24; types from 25 on have none."""
-    key = _text("n_nationkey")
-    return table(spark, sf_dir, "nation").select(
-        key.alias("typeid"), F.concat(F.lit("channel-"), key).alias("typename")
+    return table(spark, sf_dir, "nation").selectExpr(
+        "string(n_nationkey) as typeid", "concat('channel-', n_nationkey) as typename"
     )
 
 
 def room_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live rooms of all applications."""
-    key = _text("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("room"), key).alias("roomkey"),
-        F.concat(F.lit("http://live.example/"), key, F.lit(".flv")).alias("flvurl"),
-        F.col("c_mktsegment").alias("appid"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "concat('room', c_custkey) as roomkey",
+        "concat('http://live.example/', c_custkey, '.flv') as flvurl",
+        "c_mktsegment as appid",
     )
 
 
-def _item(site: str, key: str, title: str, typepy) -> list[Column]:
-    url = F.concat(F.lit(f"https://{site}.example/"), _text(key), F.lit(".html"))
-    return [F.col(title).alias("title"), _text(typepy).alias("typepy"), url.alias("url")]
+def _items(df: DataFrame, site: str, key: str, title: str, typepy: str) -> DataFrame:
+    return df.selectExpr(
+        f"{title} as title", f"string({typepy}) as typepy", f"concat('https://{site}.example/', {key}, '.html') as url"
+    )
 
 
 def catalogues(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Crawler, video and short-video catalogue; the last holds many rows per id."""
     return [
-        table(spark, sf_dir, "supplier").select(*_item("c", "s_suppkey", "s_name", "s_nationkey")),
-        table(spark, sf_dir, "customer").select(*_item("v", "c_custkey", "c_name", "c_mktsegment")),
-        table(spark, sf_dir, "orders").select(*_item("s", "o_custkey", "o_orderpriority", "o_orderstatus")),
+        _items(table(spark, sf_dir, "supplier"), "c", "s_suppkey", "s_name", "s_nationkey"),
+        _items(table(spark, sf_dir, "customer"), "v", "c_custkey", "c_name", "c_mktsegment"),
+        _items(table(spark, sf_dir, "orders"), "s", "o_custkey", "o_orderpriority", "o_orderstatus"),
     ]
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
-        day_tag(F.col("ts")).alias("dt"),
-        F.date_format("ts", "HH").alias("hour"),
-        _text("event_id").alias("url"),
-        F.col("value").alias("rate"),
+    return table(spark, sf_dir, "events").selectExpr(
+        f"{DAY} as dt", "date_format(ts, 'HH') as hour", "string(event_id) as url", "value as rate"
     )
 
 
 def score_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score lines by hour; some numbers are unusual and some are none."""
-    k, value = F.col("k"), _text("value")
-    number = (
-        F.when(k < 5, "abc").when(k < 10, F.concat(value, F.lit("d")))
-        .when(k < 15, F.concat(F.lit(" "), value, F.lit(" "))).when(k < 18, "").otherwise(value)
-    )
-    return events(spark, sf_dir).select(
-        F.concat_ws("\t", _text("event_id"), number).alias("value"),
-        F.date_format("ts", "yyyyMMddHH").alias("dt"),
+    number = """case when k < 5 then 'abc' when k < 10 then concat(value, 'd') when k < 15 then concat(' ', value, ' ')
+      when k < 18 then '' else string(value) end"""
+    return events(spark, sf_dir).selectExpr(
+        f"concat_ws('\t', event_id, {number}) as value", "date_format(ts, 'yyyyMMddHH') as dt"
     )
 
 
 def part_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue lines of ten columns; some are cut short, end in empty columns or lack the URL."""
-    size = F.col("p_size")
-    url = (
-        F.when(size <= 3, "").when(size <= 6, "x")
-        .otherwise(F.concat(F.lit("https://c.example/"), _text("p_partkey"), F.lit(".html")))
-    )
-    fill = [F.lit(f"f{position}") for position in range(3, 9)]
-    typepy = F.when(size.between(7, 10), "").otherwise(F.col("p_type"))
-    full = F.concat_ws("\t", _text("p_partkey"), url, F.col("p_name"), *fill, typepy)
-    short = F.concat_ws("\t", _text("p_partkey"), url, F.col("p_name"))
-    return table(spark, sf_dir, "part").select(
-        F.when(size > 45, short).when(size > 40, F.concat(full, F.lit("\t\t"))).otherwise(full).alias("value")
+    head = """p_partkey, case when p_size <= 3 then '' when p_size <= 6 then 'x'
+      else concat('https://c.example/', p_partkey, '.html') end, p_name"""
+    short = f"concat_ws('\t', {head})"
+    full = f"""concat_ws('\t', {head}, 'f3', 'f4', 'f5', 'f6', 'f7', 'f8',
+      if(p_size between 7 and 10, '', p_type))"""
+    return table(spark, sf_dir, "part").selectExpr(
+        f"case when p_size > 45 then {short} when p_size > 40 then concat({full}, '\t\t') else {full} end as value"
     )

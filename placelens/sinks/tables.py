@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 PART_KEYS = ["dt", "hour"]
 RESULT_COLUMNS = ["dt", "hour", "urltype", "url", "title", "rate"]
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def result_rows(enriched: DataFrame) -> DataFrame:
     """The enriched scores under the column names of the result table."""
@@ -35,5 +37,14 @@ def replace_one_part(df: DataFrame, path: str, part: dict[str, str]) -> None:
 
 
 def replace_in_table(df: DataFrame, table: str) -> None:
-    """The same for a partitioned catalogue table, columns matched by position."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    """The same for a partitioned catalogue table, columns matched by position.
+
+    Inserts into a table take the overwrite mode from the session, so it is set for this write only.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(OVERWRITE_MODE)
+    conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(OVERWRITE_MODE, before)

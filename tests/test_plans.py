@@ -1,0 +1,149 @@
+"""Sessions, whole pipelines and the command lines."""
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+
+from placelens import session
+from placelens.jobs import attribution as attribution_job
+from placelens.jobs import scoring as scoring_job
+from placelens.operators.ranking import first_rows, top_m, top_m_per_group
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = session.shared_folder(spark, "x"), session.shared_folder(spark, "x")
+    assert first.startswith(base) and first != second
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Session(), "x")
+    Context.master = "local[2]"
+    assert "x-" in session.shared_folder(Session(), "x")
+
+
+def test_ranking(spark):
+    rows = spark.createDataFrame([(n % 2, v) for n, v in enumerate([5, 1, 9, 9, 3, None])], "g int, v int")
+    assert [row["v"] for row in top_m(rows, "v", 3).collect()] == [5, 9, 9]
+    assert [row["v"] for row in top_m(rows, "v", 99).collect()] == [1, 3, 5, 9, 9]
+    best = top_m_per_group(rows.where("v is not null"), ["g"], [rows.v.desc()], 2)
+    assert Counter((row["g"], row["v"]) for row in best.collect()) == Counter([(0, 9), (0, 5), (1, 9), (1, 1)])
+    assert [row["v"] for row in first_rows(rows.where("v > 1"), ["v"], 2).collect()] == [3, 5]
+
+
+HISTORY = """id int, optype string, content string, title string, newstype string, idx string, pagenum string,
+  createuser string, modifydate timestamp, starttime timestamp, endtime timestamp, sourcetype string, apptypeid string"""
+
+
+def at(hour, minute=0):
+    return dt.datetime(2024, 1, 15, hour, minute)
+
+
+def second(hour, minute=0):
+    return int(at(hour, minute).replace(tzinfo=dt.timezone.utc).timestamp())
+
+
+def test_attribution_job(spark):
+    """The whole report from a database and catalogue tables, through the command line's arguments."""
+    url = "jdbc:derby:memory:report;create=true"
+    article = "https://a.example/160120110929839111.html?from=x"
+    page = [
+        (1, "update", article, "one", "7,8", "0", "1", "ed", at(8), at(8), at(20), "news", "app"),
+        (1, "update", article, "two", "7", "0", "1", "ed", at(12), at(12), at(20), "news", "app"),
+        (2, "delete", article, "gone", "7", "0", "1", "ed", at(9), at(9), at(20), "news", "app"),
+        (3, "update", article, "ad", "7", "0", "1", "ed", at(9), at(9), at(20), "ad", "app"),
+        (4, "update", article, "other app", "7", "0", "1", "ed", at(9), at(9), at(20), "news", "else"),
+    ]
+    video = [(1, "update", "room1", "live", "8", "2", "1", "ed", at(10), at(10), at(11), "live", "app")]
+    wide = ", ".join(
+        f"{name} VARCHAR(200)"
+        for name in "optype content title newstype idx pagenum createuser sourcetype apptypeid".split()
+    )
+    for name, rows in (("page_history", page), ("video_history", video)):
+        frame = spark.createDataFrame(rows, HISTORY)
+        frame.write.option("createTableColumnTypes", wide).jdbc(url, name, mode="overwrite")
+    types = spark.createDataFrame([("7", "top")], "typeid string, typename string")
+    types.write.option("createTableColumnTypes", "typeid VARCHAR(9), typename VARCHAR(9)").jdbc(url, "types", mode="overwrite")
+
+    tables = {
+        "rooms": ([("room1", "http://live/1.flv", "tv", "20240115"), ("room1", "http://x/", "tv", "20240114")],
+                  "roomkey string, flvurl string, appid string, dt string"),
+        "clicks": ([
+            ("v1", second(9), "top", "0", "1", "http://m/160120110929839111.html", "a", "1", "20240115"),
+            ("v1", second(12), "top", "0", "1", "http://m/160120110929839111.html", "a", "1", "20240115"),
+            ("v2", second(13), "top", "0", "1", "http://m/160120110929839111.html", "a", "1", "20240115"),
+            ("v2", second(13), "top", "0", "1", "http://m/160120110929839111.html", "b", "1", "20240115"),
+        ], "clientime string, dateline bigint, urlfrom string, idx02 string, pgnum string, urlto string, app string, top string, dt string"),
+        "views": ([("w1", second(10, 30), "8", 2, 1, "http://live/1.flv?q", "20240115")] * 2,
+                  "ime string, dateline bigint, type string, idx int, pagenum int, url string, dt string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.mode("overwrite").partitionBy("dt").saveAsTable(name)
+
+    args = attribution_job.parser().parse_args([
+        "20240115120000", "--jdbc-url", url, "--page-history", "page_history", "--video-history", "video_history",
+        "--types", "types", "--rooms", "rooms", "--clicks", "clicks", "--views", "views", "--database", "default",
+        "--history-filter", "apptypeid=app", "--room-filter", "appid=tv", "--click-filter", "app=a", "--click-filter", "top=1",
+    ])
+    report = attribution_job.report(spark, args)
+    found = Counter(
+        (r["typename"], r["content"], r["real_starttime"], r["real_endtime"], r["pv_active"], r["uv_active"], r["pv_show"], r["uv_show"])
+        for r in report.collect()
+    )
+    key = "160120110929839111"
+    assert found == Counter([
+        ("top", key, second(8), second(12), 2, 1, None, None),
+        ("8", key, second(8), second(12), None, None, None, None),
+        ("top", key, second(12), second(20), 2, 2, None, None),
+        ("8", "http://live/1.flv", second(10), second(11), None, None, 2, 1),
+    ])
+
+
+def test_scoring_job(spark, tmp_path):
+    """Text folders in, one replaced hour out, to files and to a database."""
+
+    def write(name, rows):
+        root = str(tmp_path / name)
+        spark.createDataFrame(rows, "dt string, value string").write.mode("overwrite").partitionBy("dt").text(root)
+        return root
+
+    def line(width, **cells):
+        places = {int(name[1:]): value for name, value in cells.items()}
+        return "\t".join(places.get(n, f"f{n}") for n in range(width))
+
+    roots = [
+        "--scores", write("scores", [("2024011510", "1\t0.5"), ("2024011510", "2\t0.25"), ("2024011510", "9\t1"), ("2024011510", "1\tbad")]),
+        "--crawler", write("crawler", [("20240111", line(10, c1="http://c/1.html")), ("20240110", line(10, c1="http://c/2.html"))]),
+        "--video", write("video", [("20240115", line(24, c23="http://v/1.html")), ("20240112", line(24, c23="http://v/2.html"))]),
+        "--short-video", write("short", [("20240116", line(10, c6="http://s/9.html"))]),
+    ]
+    expected = [(0.25, "f7", "f12", "http://v/2.html"), (0.5, "f9", "f2", "http://c/1.html"), (1.0, None, None, "9")]
+    out = str(tmp_path / "result")
+    for _ in range(2):
+        scoring_job.run(spark, scoring_job.parser().parse_args(["2024011510", *roots, "--output", out]))
+        rows = spark.read.parquet(out).orderBy("rate").collect()
+        assert [(r["rate"], r["urltype"], r["title"], r["url"]) for r in rows] == expected
+
+    url = "jdbc:derby:memory:scores;create=true"
+    empty = spark.createDataFrame([], "dt string, hour string, urltype string, url string, title string, rate double")
+    empty.write.option("createTableColumnTypes", scoring_job.RESULT_TYPES).jdbc(url, "result", mode="overwrite")
+    arguments = ["2024011510", *roots, "--jdbc-url", url, "--table", "result"]
+    for _ in range(2):
+        scoring_job.run(spark, scoring_job.parser().parse_args(arguments))
+        rows = spark.read.jdbc(url, "result").orderBy("rate").collect()
+        assert [(r["rate"], r["urltype"], r["title"], r["url"]) for r in rows] == expected

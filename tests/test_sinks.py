@@ -1,0 +1,61 @@
+"""Replacing parts of a result, in files, catalogue tables and databases."""
+
+import pytest
+from py4j.protocol import Py4JJavaError
+
+from placelens.sinks import jdbc as jdbc_sink
+from placelens.sinks.tables import replace_in_table, replace_one_part, replace_parts, result_rows
+from placelens.sources import jdbc
+
+RESULT = "dt string, hour string, title string, type1 string, url string, rate double"
+TYPES = "dt VARCHAR(8), hour VARCHAR(2), urltype VARCHAR(64), url VARCHAR(64), title VARCHAR(64)"
+
+
+def rows(spark, hour, rates):
+    enriched = spark.createDataFrame([("20240115", hour, "t", "k", "u", float(rate)) for rate in rates], RESULT)
+    return result_rows(enriched)
+
+
+def content(df):
+    return sorted((row["hour"], row["rate"]) for row in df.collect())
+
+
+def test_replace_parts(spark, tmp_path):
+    path = str(tmp_path / "result")
+    read = lambda: spark.read.schema(rows(spark, "01", []).schema).parquet(path)
+    replace_parts(rows(spark, "01", [1, 2]).unionByName(rows(spark, "02", [3])), path)
+    for _ in range(2):
+        replace_parts(rows(spark, "01", [7, 8, 9]), path)
+        assert content(read()) == [("01", 7), ("01", 8), ("01", 9), ("02", 3)]
+    replace_one_part(rows(spark, "02", [5, 6]), path, {"dt": "20240115", "hour": "02"})
+    assert content(read()) == [("01", 7), ("01", 8), ("01", 9), ("02", 5), ("02", 6)]
+    replace_one_part(rows(spark, "01", []), path, {"dt": "20240115", "hour": "01"})
+    assert content(read()) == [("02", 5), ("02", 6)]
+
+
+def test_replace_in_table(spark):
+    spark.sql("DROP TABLE IF EXISTS results")
+    spark.sql("CREATE TABLE results (rate DOUBLE, dt STRING, hour STRING) USING parquet PARTITIONED BY (dt, hour)")
+    columns = ["rate", "dt", "hour"]
+    replace_in_table(rows(spark, "01", [1]).unionByName(rows(spark, "02", [3])).select(*columns), "results")
+    replace_in_table(rows(spark, "01", [9]).select(*columns), "results")
+    assert content(spark.table("results")) == [("01", 9), ("02", 3)]
+
+
+def test_replace_in_database(spark):
+    url = "jdbc:derby:memory:sinks;create=true"
+    empty = rows(spark, "01", [])
+    empty.write.option("createTableColumnTypes", TYPES).jdbc(url, "result", mode="overwrite")
+    jdbc_sink.append(rows(spark, "01", [1, 2]).unionByName(rows(spark, "02", [3])), url, "result", batch=2)
+    for _ in range(2):
+        jdbc_sink.replace_part(rows(spark, "01", [7]), url, "result", {"dt": "20240115", "hour": "01"}, TYPES)
+        assert content(jdbc.scan(spark, url, "result")) == [("01", 7), ("02", 3)]
+
+
+def test_failed_replacement_changes_nothing(spark):
+    url = "jdbc:derby:memory:failing;create=true"
+    rows(spark, "01", [1]).write.option("createTableColumnTypes", TYPES).jdbc(url, "result", mode="overwrite")
+    bad = rows(spark, "01", [2]).withColumnRenamed("rate", "score")
+    with pytest.raises(Py4JJavaError):
+        jdbc_sink.replace_part(bad, url, "result", {"dt": "20240115", "hour": "01"}, TYPES)
+    assert content(jdbc.scan(spark, url, "result")) == [("01", 1)]

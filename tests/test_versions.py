@@ -1,0 +1,130 @@
+"""Validity intervals: hand-written histories and a plain restatement of the rule on random ones."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from placelens.operators.versions import drop_tombstones, explode_list, started_on, union_histories, version_intervals
+
+SCHEMA = "id int, seq int, optype string, newstype string, modifydate timestamp, starttime timestamp, endtime timestamp"
+DAY = dt.datetime(2024, 1, 1)
+
+
+def hour(h):
+    return None if h is None else DAY + dt.timedelta(hours=h)
+
+
+def build(spark, rows):
+    return spark.createDataFrame(
+        [(i, n, op, kinds, hour(m), hour(s), hour(e)) for i, n, op, kinds, m, s, e in rows], SCHEMA
+    )
+
+
+def spans(df):
+    as_hour = lambda t: None if t is None else (t - DAY).total_seconds() / 3600
+    return {row["seq"]: (as_hour(row["real_starttime"]), as_hour(row["real_endtime"])) for row in df.collect()}
+
+
+def test_intervals(spark):
+    history = build(spark, [
+        (1, 1, "update", "a", 0, 2, 9),
+        (2, 2, "update", "a", 0, 0, 9), (2, 3, "update", "a", 4, 1, 9), (2, 4, "update", "a", 6, 8, 9),
+        (3, 5, "update", "a", 0, 0, 9), (3, 6, "delete", "a", 2, 2, 9), (3, 7, "update", "a", 5, 5, 9),
+        (4, 8, "update", "a", 0, 0, 9), (4, 9, "delete", "a", 3, 3, 9),
+        (5, 10, "update", "a", 1, 0, 9), (5, 11, "update", "a", 1, 0, 9),
+        (6, 12, "update", "a", 0, 0, 2), (6, 13, "update", "a", 5, 5, 9),
+        (7, 14, "update", "a", 0, 8, 3),
+        (8, 15, "update", "a", 0, 0, None), (8, 16, None, "a", 30, 0, None),
+    ])
+    assert spans(version_intervals(history)) == {
+        1: (2, 9),
+        2: (0, 4), 3: (4, 6), 4: (8, 9),
+        5: (0, 2), 6: (2, 5), 7: (5, 9),
+        8: (0, 3), 9: (3, 9),
+        10: (1, 1), 11: (1, 9),
+        12: (0, 2), 13: (5, 9),
+        14: (8, 3),
+        15: (0, 30), 16: (30, None),
+    }
+    kept = {row["seq"] for row in drop_tombstones(version_intervals(history)).collect()}
+    assert kept == set(range(1, 17)) - {6, 9}
+
+
+def test_day_tags(spark):
+    history = build(spark, [(1, 1, "update", "a", 23, 25, 49)])
+    row = version_intervals(history).first()
+    assert (row["real_startdate"], row["real_enddate"]) == ("20240102", "20240103")
+    assert started_on(version_intervals(history), "20240102").count() == 1
+    assert started_on(version_intervals(history), "20240101").count() == 0
+
+
+def test_explode_list(spark):
+    history = build(spark, [
+        (1, n, "update", kinds, 0, 0, 1) for n, kinds in enumerate(["a", "a,b", "a,,b", "a,", ",", "", None])
+    ])
+    found = sorted((row["seq"], row["typeid"]) for row in explode_list(history).collect())
+    assert found == [(0, "a"), (1, "a"), (1, "b"), (2, ""), (2, "a"), (2, "b"), (3, "a"), (5, "")]
+
+
+def test_sources_do_not_interact(spark):
+    first = build(spark, [(1, 1, "update", "a", 0, 0, 9)])
+    second = build(spark, [(1, 2, "delete", "a", 3, 3, 9)])
+    both = union_histories(version_intervals(first), version_intervals(second))
+    assert spans(both) == {1: (0, 9), 2: (3, 9)}
+
+
+def restated(versions):
+    """Newest first; the newest runs to its end, an older one is cut where its end passes both edits."""
+    newest_first = sorted(versions, key=lambda v: (v["m"], v["seq"]), reverse=True)
+    spans = {}
+    for place, version in enumerate(newest_first):
+        end = version["e"]
+        if place and end > version["m"] and end > newest_first[place - 1]["m"]:
+            end = newest_first[place - 1]["m"]
+        spans[version["seq"]] = (max(version["s"], version["m"]), end)
+    return spans
+
+
+@pytest.mark.parametrize("unit", ["minute", "hour", "month"])
+def test_random_histories(spark, unit):
+    rng = random.Random(7)
+    rows, expected, seq = [], {}, 0
+    for key in range(60):
+        versions = []
+        for _ in range(rng.randint(1, 12)):
+            versions.append({"seq": seq, "m": rng.randint(0, 40), "s": rng.randint(0, 40), "e": rng.randint(0, 60)})
+            seq += 1
+        expected |= restated(versions)
+        rows += [(key, v["seq"], "update", "a", v["m"], v["s"], v["e"]) for v in versions]
+    assert spans(version_intervals(build(spark, rows), slice_unit=unit)) == expected
+
+
+def test_hot_key_is_cut_into_slices(spark):
+    """One id with most edits, many of them at the same instant: same result as the plain window."""
+    edits = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int").alias("id"),
+        F.col("id").cast("int").alias("seq"),
+        F.timestamp_seconds(1704067200 + (F.col("id") % 977) * 600).alias("modifydate"),
+    ).withColumns({"starttime": F.col("modifydate"), "endtime": F.expr("modifydate + interval 3 hours")})
+    edits.createOrReplaceTempView("edits")
+    plain = spark.sql("""
+        SELECT seq, modifydate AS real_starttime,
+          least(endtime, lead(modifydate) OVER (PARTITION BY id ORDER BY modifydate, seq)) AS real_endtime FROM edits""")
+    ours = version_intervals(edits).select("seq", "real_starttime", "real_endtime")
+    assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
+
+
+def test_intervals_of_a_key_share_at_most_an_instant(spark):
+    edits = spark.range(500).select(
+        (F.col("id") % 7).cast("int").alias("id"),
+        F.col("id").cast("int").alias("seq"),
+        F.timestamp_seconds(1704067200 + F.pmod(F.xxhash64("id"), F.lit(86400))).alias("modifydate"),
+    ).withColumns({"starttime": F.col("modifydate"), "endtime": F.expr("modifydate + interval 2 days")})
+    by_key = {}
+    for row in version_intervals(edits).collect():
+        by_key.setdefault(row["id"], []).append((row["real_starttime"], row["real_endtime"]))
+    for found in by_key.values():
+        found.sort()
+        assert all(end <= start for (_, end), (start, _) in zip(found, found[1:], strict=False))

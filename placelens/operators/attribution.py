@@ -36,8 +36,7 @@ def interval_join(
     `slices` times however long it lasts, and the part joins the keys: a log row meets only the slots of
     its own part, and a busy slot is spread over all parts. `right_open` excludes the end.
 
-    With `hits`, equal log rows may come out as one row with their number in that column: they are
-    collapsed only where the slots are too large to broadcast, since only then is the log shuffled.
+    With `hits`, equal log rows may come out as one row with their number in that column.
     """
     log = log.where(F.col(at).isNotNull())
     low, high = span or time_span(log, at)
@@ -50,11 +49,10 @@ def interval_join(
     live = slots.where(F.col(start) <= F.col(end))
     first, last = part(F.col(start)), part(F.col(end))
     fits = fits_broadcast(live, last - first + 1, broadcast_bytes)
-    if hits:
-        log = log.withColumn(hits, F.lit(1)) if fits else log.groupBy(*log.columns).agg(F.count("*").alias(hits))
     pieces = live.withColumn("_part", F.explode(F.sequence(first, last)))
     in_time = (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end) if right_open else F.col(at) <= F.col(end))
-    joined = balanced_join(log.withColumn("_part", part(F.col(at))), pieces, [*keys, "_part"], side_fits=fits)
+    parted = log.withColumn("_part", part(F.col(at)))
+    joined = balanced_join(parted, pieces, [*keys, "_part"], side_fits=fits, weight=hits)
     return joined.where(in_time).drop("_part")
 
 

@@ -16,14 +16,13 @@ def row_bytes(df: DataFrame) -> Column:
     return size.cast("bigint")
 
 
-def measured_bytes(df: DataFrame, copies: Column | None = None) -> int:
-    """Exact payload of `df`, each row counted `copies` times. One aggregate, one row to the driver."""
-    size = row_bytes(df) if copies is None else row_bytes(df) * copies
-    return df.agg(F.sum(size)).first()[0] or 0
-
-
 def fits_broadcast(df: DataFrame, copies: Column | None = None, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df, copies) <= limit
+    """Whether the rows of `df`, each counted `copies` times, measure at most `limit` bytes.
+
+    One aggregate with one row to the driver; no estimate is involved.
+    """
+    size = row_bytes(df) if copies is None else row_bytes(df) * copies
+    return (df.agg(F.sum(size)).first()[0] or 0) <= limit
 
 
 def balanced_join(
@@ -32,20 +31,34 @@ def balanced_join(
     on: list[str],
     how: str = "inner",
     side_fits: bool | None = None,
+    weight: str | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join many `rows` to a smaller `side` on equal columns.
+    """Join many `rows` to a smaller `side` on equal columns; `how` is `inner` or `left`.
 
     A side measured to fit is broadcast, so `rows` are not shuffled at all. A larger one meets them in
     a sort-merge join in which every key is spread over `salts` partitions: the salt of a row is a hash
-    of its whole content, the side carries one copy per salt. `how` is `inner` or `left`.
+    of its whole content, the side carries one copy per salt.
 
+    With `weight`, equal rows may come out as one row with their number in that column. They are
+    collapsed, map side first, only where `rows` have to be shuffled: copies would share a salt.
     Pass `side_fits` where the side is costly to compute and a cheaper input bounds its size.
     """
     if side_fits is None:
         side_fits = fits_broadcast(side)
     if side_fits:
-        return rows.join(F.broadcast(side), on, how)
+        weighted = rows.withColumn(weight, F.lit(1).cast("bigint")) if weight else rows
+        return weighted.join(F.broadcast(side), on, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
-    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    if weight:
+        salted = salted.groupBy(*salted.columns).agg(F.count("*").alias(weight))
+    copies = side.withColumn("_salt", F.explode(F.array(*(F.lit(n).cast("bigint") for n in range(salts)))))
     return salted.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
+
+
+def repeat_rows(df: DataFrame, times: Column, step: int = 4096) -> DataFrame:
+    """Emit every row `times` times, in two steps so that no row needs a long array."""
+    whole = F.floor((times - 1) / step)
+    steps = df.withColumn("_times", times).withColumn("_step", F.explode(F.sequence(F.lit(0).cast("bigint"), whole)))
+    rest = F.least(F.lit(step).cast("bigint"), F.col("_times") - F.col("_step") * step)
+    return steps.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), rest))).drop("_times", "_step", "_copy")

@@ -1,5 +1,7 @@
 """Edit histories turned into validity intervals."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from placelens.functions.text import java_split
 TOMBSTONE = "delete"
 
 
-def next_times(history: DataFrame, key: str, order: str, tie: str, slice_unit: str = "hour") -> DataFrame:
-    """For every distinct (key, order): the next later `order` of that key and the greatest `tie`.
+def next_times(history: DataFrame, key: list[str], order: str, tie: str, slice_unit: str = "hour") -> DataFrame:
+    """For every distinct key and `order`: the next later one of that key and the greatest `tie`.
 
     Edits are first collapsed to distinct times with map-side aggregation, so copies of one edit cost
     nothing. The times of a key are then cut into calendar slices; each slice is a window group of its
@@ -19,26 +21,26 @@ def next_times(history: DataFrame, key: str, order: str, tie: str, slice_unit: s
     history is thereby sorted by many tasks.
     """
     times = (
-        history.groupBy(key, order)
+        history.groupBy(*key, order)
         .agg(F.max(tie).alias("_last"))
         .withColumn("_slice", F.date_trunc(slice_unit, order))
     )
-    heads = times.groupBy(key, "_slice").agg(F.min(order).alias("_head"))
+    heads = times.groupBy(*key, "_slice").agg(F.min(order).alias("_head"))
     markers = heads.select(
-        key,
-        F.lead("_head").over(Window.partitionBy(key).orderBy("_slice")).alias(order),
+        *key,
+        F.lead("_head").over(Window.partitionBy(*key).orderBy("_slice")).alias(order),
         "_slice",
     ).where(F.col(order).isNotNull())
     marked = times.withColumn("_marker", F.lit(False)).unionByName(
         markers.withColumn("_marker", F.lit(True)), allowMissingColumns=True
     )
-    following = F.lead(order).over(Window.partitionBy(key, "_slice").orderBy(order))
-    return marked.withColumn("_next", following).where(~F.col("_marker")).select(key, order, "_last", "_next")
+    following = F.lead(order).over(Window.partitionBy(*key, "_slice").orderBy(order))
+    return marked.withColumn("_next", following).where(~F.col("_marker")).select(*key, order, "_last", "_next")
 
 
 def version_intervals(
     history: DataFrame,
-    key: str = "id",
+    key: str | list[str] = "id",
     order: str = "modifydate",
     start: str = "starttime",
     end: str = "endtime",
@@ -52,7 +54,8 @@ def version_intervals(
     greatest `tie` is the newest. Empty and inverted intervals are kept. Deletes stay in the result so
     that they end the version before them; see `drop_tombstones`.
     """
-    versions = history.join(next_times(history, key, order, tie, slice_unit), [key, order], "left")
+    key = [key] if isinstance(key, str) else key
+    versions = history.join(next_times(history, key, order, tie, slice_unit), [*key, order], "left")
     next_edit = F.when(F.col(tie) < F.col("_last"), F.col(order)).otherwise(F.col("_next"))
     bounds = {"real_starttime": F.greatest(start, order), "real_endtime": F.least(F.col(end), next_edit)}
     tags = {"real_startdate": day_tag("real_starttime"), "real_enddate": day_tag("real_endtime")}
@@ -70,11 +73,12 @@ def explode_list(versions: DataFrame, values: str = "newstype", into: str = "typ
 
 
 def union_histories(*histories: DataFrame) -> DataFrame:
-    """Stack sources whose intervals were computed separately; equal ids do not interact."""
-    first, *others = histories
-    for other in others:
-        first = first.unionByName(other)
-    return first
+    """Stack sources, duplicates kept, and number them in `source`.
+
+    Equal ids of two sources are different entries: use `source` as part of the key.
+    """
+    numbered = (history.withColumn("source", F.lit(number)) for number, history in enumerate(histories))
+    return reduce(DataFrame.unionByName, numbered)
 
 
 def started_on(versions: DataFrame, day: str | Column) -> DataFrame:

@@ -34,10 +34,9 @@ REPORT_COLUMNS = [
 
 
 def slot_versions(histories: list[DataFrame]) -> DataFrame:
-    """Versions in force per listed type. Intervals come first, per source; then deletes go."""
-    return union_histories(
-        *(explode_list(drop_tombstones(version_intervals(history))) for history in histories)
-    )
+    """Versions in force per listed type. Intervals come first, within each source; then deletes go."""
+    versions = version_intervals(union_histories(*histories), ["source", "id"])
+    return explode_list(drop_tombstones(versions))
 
 
 def slot_table(

@@ -9,7 +9,7 @@ from placelens.functions import dates, text, urls
 from placelens.operators import attribution, enrichment, lookups, ranking, tokens, versions
 from placelens.plans import inputs
 from placelens.plans.attribution import PAGE_SOURCETYPES, VIDEO_SOURCETYPES, attribution_report, slot_table
-from placelens.session import shared_folder
+from placelens.session import shared_folder, written
 from placelens.sinks import jdbc as jdbc_sink
 from placelens.sinks import tables as table_sink
 from placelens.sources import jdbc, logs, partitions, streams, synthetic, tsv
@@ -115,8 +115,9 @@ def explode_types(spark, sf_dir):
 
 @query
 def union_histories(spark, sf_dir):
-    sources = (_versions(spark, sf_dir, event_type) for event_type in ("signup", "purchase"))
-    return versions.union_histories(*sources).select("id", "seq", "real_starttime", "real_endtime")
+    sources = (inputs.history(spark, sf_dir, event_type) for event_type in ("signup", "purchase"))
+    intervals = versions.version_intervals(versions.union_histories(*sources), ["source", "id"])
+    return versions.drop_tombstones(intervals).select("id", "seq", "real_starttime", "real_endtime")
 
 
 @query
@@ -167,11 +168,11 @@ JOIN_COLUMNS = [*attribution.SLOT_KEYS, *attribution.INTERVAL, "visitor", "datel
 
 
 def _attributed_clicks(spark, sf_dir):
-    return attribution.interval_join(_slots(spark, sf_dir), _clicks(spark, sf_dir))
+    return attribution.interval_join(written(_slots(spark, sf_dir), "slots"), _clicks(spark, sf_dir))
 
 
 def _attributed_views(spark, sf_dir):
-    return attribution.interval_join(_slots(spark, sf_dir), _views(spark, sf_dir))
+    return attribution.interval_join(written(_slots(spark, sf_dir), "slots"), _views(spark, sf_dir))
 
 
 @query

@@ -3,9 +3,11 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from placelens.operators import enrichment, joins
 from placelens.operators.enrichment import priority_enrich
+from placelens.operators.joins import repeat_rows
 from placelens.operators.lookups import lookup_fallback, resolve_rooms
 
 SCORES = "dt string, hour string, url string, rate double"
@@ -58,6 +60,33 @@ def test_repeated_ids_multiply(spark, form):
     })
 
 
+def test_repeat_rows(spark):
+    rows = spark.createDataFrame([(1,), (3,), (4,), (5,), (8,), (9,)], "n bigint")
+    for step in (1, 4, 4096):
+        found = Counter(row["n"] for row in repeat_rows(rows, F.col("n"), step).collect())
+        assert found == Counter({n: n for n in (1, 3, 4, 5, 8, 9)})
+
+
+def test_copies_and_busy_ids(spark, form):
+    """A third of all scores and catalogue rows under one id, copies included: as three left joins."""
+    ids = F.when(F.col("id") % 3 == 0, "0").otherwise((F.col("id") % 17).cast("string"))
+    many = spark.range(60).select(F.lit("20240115").alias("dt"), F.lit("10").alias("hour"), ids.alias("url"), (F.col("id") % 2).cast("double").alias("rate"))
+    parts = [
+        spark.range(rows).select(ids.alias("urlid"), F.lit(name).alias("title"), F.lit(name).alias("typepy"), F.concat(F.lit(name), F.col("id") % 2).alias("url"))
+        for name, rows in (("c", 9), ("b", 12), ("d", 30))
+    ]
+    c, b, d = (part.select(*(F.col(n).alias(f"{letter}_{n}") for n in part.columns)) for letter, part in zip("cbd", parts, strict=True))
+    plain = many.join(b, many.url == b.b_urlid, "left").join(c, many.url == c.c_urlid, "left").join(d, many.url == d.d_urlid, "left")
+
+    def pick(name, otherwise):
+        return F.when(F.col("c_urlid").isNotNull(), F.col(f"c_{name}")).when(F.col("b_urlid").isNotNull(), F.col(f"b_{name}")).when(
+            F.col("d_urlid").isNotNull(), F.col(f"d_{name}")).otherwise(otherwise)
+
+    expected = plain.select("dt", "hour", pick("title", None).alias("title"), pick("typepy", None).alias("type1"), pick("url", F.col("url")).alias("link"), "rate")
+    ours = priority_enrich(many, parts)
+    assert ours.exceptAll(expected).count() == 0 and expected.exceptAll(ours).count() == 0
+
+
 def test_lookup_fallback(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, typeid string")
     names = spark.createDataFrame([("a", "first"), ("a", "second"), ("c", "other")], "typeid string, typename string")

@@ -52,6 +52,22 @@ def test_replace_in_database(spark):
         assert content(jdbc.scan(spark, url, "result")) == [("01", 7), ("02", 3)]
 
 
+def test_rows_staged_twice_change_nothing(spark, monkeypatch):
+    """As after a task whose executor was lost between its commit and its report."""
+    url = "jdbc:derby:memory:twice;create=true"
+    rows(spark, "01", [1]).write.option("createTableColumnTypes", TYPES).jdbc(url, "result", mode="overwrite")
+
+    def once_and_again(df, name):
+        again = df.unionByName(df)
+        again.count = df.count
+        return again
+
+    monkeypatch.setattr(jdbc_sink, "written", once_and_again)
+    with pytest.raises(RuntimeError):
+        jdbc_sink.replace_part(rows(spark, "01", [2]), url, "result", {"dt": "20240115", "hour": "01"}, TYPES)
+    assert content(jdbc.scan(spark, url, "result")) == [("01", 1)]
+
+
 def test_failed_replacement_changes_nothing(spark):
     url = "jdbc:derby:memory:failing;create=true"
     rows(spark, "01", [1]).write.option("createTableColumnTypes", TYPES).jdbc(url, "result", mode="overwrite")

@@ -71,8 +71,9 @@ def test_explode_list(spark):
 def test_sources_do_not_interact(spark):
     first = build(spark, [(1, 1, "update", "a", 0, 0, 9)])
     second = build(spark, [(1, 2, "delete", "a", 3, 3, 9)])
-    both = union_histories(version_intervals(first), version_intervals(second))
+    both = version_intervals(union_histories(first, second), ["source", "id"])
     assert spans(both) == {1: (0, 9), 2: (3, 9)}
+    assert union_histories(first, first).count() == 2
 
 
 def restated(versions):

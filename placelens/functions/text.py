@@ -52,9 +52,10 @@ def parse_double(text: Column) -> Column:
 
     Spark also takes `inf` and any letter case of the special words, the JDK does not.
     """
-    word = F.trim(text)
-    loose = word.rlike(r"^[-+]?(?i:inf|infinity|nan)\z") & ~word.rlike(r"^[-+]?(?:Infinity|NaN)\z")
-    return F.when(~loose, text.try_cast("double"))
+    lowered = F.lower(text)
+    special = lowered.contains("inf") | lowered.contains("nan")
+    exact = text.contains("Infinity") | text.contains("NaN")
+    return F.when(~special | exact, text.try_cast("double"))
 
 
 def is_present(visitor: Column) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placelens.operators.joins import BROADCAST_BYTES, balanced_join, fits_broadcast
+from placelens.operators.joins import BROADCAST_BYTES, fits_broadcast, sized_join
 
 SLOT_KEYS = ["typename", "idx", "pagenum", "content"]
 INTERVAL = ["real_starttime", "real_endtime"]
@@ -26,7 +26,6 @@ def interval_join(
     span: tuple[int, int] | None = None,
     slices: int = SLICES,
     right_open: bool = False,
-    hits: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join of slots and log rows on equal `keys` and `start <= at <= end` (whole seconds).
@@ -35,8 +34,6 @@ def interval_join(
     outside belongs to the first or last part. A slot is repeated once per part it touches, at most
     `slices` times however long it lasts, and the part joins the keys: a log row meets only the slots of
     its own part, and a busy slot is spread over all parts. `right_open` excludes the end.
-
-    With `hits`, equal log rows may come out as one row with their number in that column.
     """
     log = log.where(F.col(at).isNotNull())
     low, high = span or time_span(log, at)
@@ -51,8 +48,7 @@ def interval_join(
     fits = fits_broadcast(live, last - first + 1, broadcast_bytes)
     pieces = live.withColumn("_part", F.explode(F.sequence(first, last)))
     in_time = (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end) if right_open else F.col(at) <= F.col(end))
-    parted = log.withColumn("_part", part(F.col(at)))
-    joined = balanced_join(parted, pieces, [*keys, "_part"], side_fits=fits, weight=hits)
+    joined = sized_join(log.withColumn("_part", part(F.col(at))), pieces, [*keys, "_part"], "inner", fits)
     return joined.where(in_time).drop("_part")
 
 
@@ -84,10 +80,8 @@ def slot_traffic(
         part = logs[name].select(*keys, "visitor", "dateline", F.lit(name).alias("log"))
         stacked = part if stacked is None else stacked.unionByName(part)
     distinct = slots.groupBy(*keys, *INTERVAL).agg(F.count("*").alias("copies"))
-    attributed = interval_join(distinct, stacked, keys, span=span, right_open=right_open, hits="hits")
-    per_visitor = attributed.groupBy(*keys, *INTERVAL, "log", "visitor").agg(
-        F.sum(F.col("copies") * F.col("hits")).alias("views")
-    )
+    attributed = interval_join(distinct, stacked, keys, span=span, right_open=right_open)
+    per_visitor = attributed.groupBy(*keys, *INTERVAL, "log", "visitor").agg(F.sum("copies").alias("views"))
     metrics = []
     for name in names:
         mine = F.col("log") == name

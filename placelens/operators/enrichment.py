@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placelens.operators.joins import balanced_join, fits_broadcast, repeat_rows
+from placelens.operators.joins import fits_broadcast, repeat_rows, sized_join
 
 
 def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple[DataFrame, bool]:
@@ -14,8 +14,7 @@ def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple
     Also tells whether all catalogues together, and so the winners, are small enough to broadcast.
 
     A left join of every catalogue in turn would repeat a winning row once for each combination of
-    rows the other catalogues hold under that id. `repeats` is that number times the copies of the row
-    itself, from counts alone.
+    rows the other catalogues hold under that id. `repeats` is that number, from counts alone.
     """
     ranked = [
         catalogue.select("urlid", "title", "typepy", "url", F.lit(rank).alias("rank"))
@@ -29,7 +28,6 @@ def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple
         ]
     stacked = reduce(DataFrame.unionByName, ranked)
     fits = fits_broadcast(stacked)
-    distinct = stacked.groupBy(*stacked.columns).agg(F.count("*").alias("copies"))
     counts = stacked.groupBy("urlid").agg(
         F.min("rank").alias("rank"),
         *(F.count_if(F.col("rank") == rank).alias(f"_n{rank}") for rank in range(len(catalogues))),
@@ -38,9 +36,8 @@ def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple
         F.when(F.col("rank") == rank, F.lit(1)).otherwise(F.greatest(F.lit(1), F.col(f"_n{rank}")))
         for rank in range(len(catalogues))
     )
-    best = counts.select("urlid", "rank", reduce(Column.__mul__, others).alias("others"))
-    winners = balanced_join(distinct, best, ["urlid", "rank"], side_fits=fits)
-    return winners.withColumn("repeats", F.col("copies") * F.col("others")).drop("copies", "others"), fits
+    best = counts.select("urlid", "rank", reduce(Column.__mul__, others).alias("repeats"))
+    return sized_join(stacked, best, ["urlid", "rank"], "inner", fits), fits
 
 
 def priority_enrich(scores: DataFrame, catalogues: list[DataFrame], dedup: bool = False) -> DataFrame:
@@ -52,8 +49,8 @@ def priority_enrich(scores: DataFrame, catalogues: list[DataFrame], dedup: bool
     winners, fits = catalogue_winners(catalogues, dedup)
     winners = winners.withColumnRenamed("url", "_url")
     ids = scores.withColumnRenamed("url", "urlid")
-    joined = balanced_join(ids, winners, ["urlid"], "left", side_fits=fits, weight="hits")
-    repeated = repeat_rows(joined, F.col("hits") * F.coalesce("repeats", F.lit(1)))
+    joined = sized_join(ids, winners, ["urlid"], "left", fits)
+    repeated = repeat_rows(joined, F.coalesce("repeats", F.lit(1).cast("bigint")))
     known = F.col("rank").isNotNull()
     return repeated.select(
         "dt",

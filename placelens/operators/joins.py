@@ -1,10 +1,9 @@
-"""Equi-joins that stay balanced when one key holds a large share of the rows."""
+"""Joins whose broadcast side is measured, and row repetition."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -25,35 +24,14 @@ def fits_broadcast(df: DataFrame, copies: Column | None = None, limit: int = BRO
     return (df.agg(F.sum(size)).first()[0] or 0) <= limit
 
 
-def balanced_join(
-    rows: DataFrame,
-    side: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    side_fits: bool | None = None,
-    weight: str | None = None,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join many `rows` to a smaller `side` on equal columns; `how` is `inner` or `left`.
+def sized_join(rows: DataFrame, side: DataFrame, on: list[str], how: str, side_fits: bool) -> DataFrame:
+    """Join `rows` to a `side` whose size was measured; `how` is `inner` or `left`.
 
-    A side measured to fit is broadcast, so `rows` are not shuffled at all. A larger one meets them in
-    a sort-merge join in which every key is spread over `salts` partitions: the salt of a row is a hash
-    of its whole content, the side carries one copy per salt.
-
-    With `weight`, equal rows may come out as one row with their number in that column. They are
-    collapsed, map side first, only where `rows` have to be shuffled: copies would share a salt.
-    Pass `side_fits` where the side is costly to compute and a cheaper input bounds its size.
+    A side that fits is broadcast, so `rows` are not shuffled at all. Otherwise both meet in a sort-merge
+    join, in which adaptive execution splits the partitions of a busy key among several tasks. Without the
+    hint Spark might still broadcast such a side on the strength of an estimate.
     """
-    if side_fits is None:
-        side_fits = fits_broadcast(side)
-    if side_fits:
-        weighted = rows.withColumn(weight, F.lit(1).cast("bigint")) if weight else rows
-        return weighted.join(F.broadcast(side), on, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
-    if weight:
-        salted = salted.groupBy(*salted.columns).agg(F.count("*").alias(weight))
-    copies = side.withColumn("_salt", F.explode(F.array(*(F.lit(n).cast("bigint") for n in range(salts)))))
-    return salted.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
+    return rows.join(F.broadcast(side) if side_fits else side.hint("merge"), on, how)
 
 
 def repeat_rows(df: DataFrame, times: Column, step: int = 4096) -> DataFrame:

@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with `k`, the number in their properties (0 to 99)."""
-    return table(spark, sf_dir, "events").selectExpr("*", "cast(regexp_extract(props, '([0-9]+)', 1) as int) as k")
+    return table(spark, sf_dir, "events").selectExpr("*", "cast(substring_index(rtrim('}', props), ' ', -1) as int) as k")
 
 
 ARTICLE = "concat('https://site.example/{site}/', lpad(cast(user_id as string), 16, '0'), '.html?', {query})"

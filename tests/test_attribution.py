@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from placelens.operators import attribution, joins
+from placelens.operators import attribution
 from placelens.operators.attribution import interval_join, pv_uv, slot_report, slot_traffic
 
 SLOTS = "typename string, idx string, pagenum string, content string, real_starttime bigint, real_endtime bigint, n int"
@@ -25,7 +25,6 @@ def form(request, monkeypatch):
     """Run a test with slots that fit a broadcast and with slots that do not."""
     if request.param == "merge":
         monkeypatch.setattr(attribution, "fits_broadcast", lambda *args, **kwargs: False)
-        monkeypatch.setattr(joins, "fits_broadcast", lambda *args, **kwargs: False)
     return request.param
 
 

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from placelens.operators import enrichment, joins
+from placelens.operators import enrichment
 from placelens.operators.enrichment import priority_enrich
 from placelens.operators.joins import repeat_rows
 from placelens.operators.lookups import lookup_fallback, resolve_rooms
@@ -18,7 +18,6 @@ ITEM = "urlid string, title string, typepy string, url string"
 def form(request, monkeypatch):
     if request.param == "merge":
         monkeypatch.setattr(enrichment, "fits_broadcast", lambda *args, **kwargs: False)
-        monkeypatch.setattr(joins, "fits_broadcast", lambda *args, **kwargs: False)
     return request.param
 
 

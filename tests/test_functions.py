@@ -56,7 +56,10 @@ def test_trim_special(spark):
 
 
 def test_parse_double(spark):
-    cases = {"1.5": 1.5, "1.5d": 1.5, " 1.5 ": 1.5, "0x1p3": 8.0, "abc": None, "": None, None: None, "Infinity": float("inf"), "inf": None, "nan": None}
+    cases = {
+        "1.5": 1.5, "1.5d": 1.5, " 1.5 ": 1.5, "0x1p3": 8.0, "abc": None, "": None, None: None, "Infinity": float("inf"),
+        "-Infinity": float("-inf"), "1e999": float("inf"), "inf": None, "nan": None, "INFINITY": None,
+    }
     assert values(spark, text.parse_double, cases) == list(cases.values())
     assert str(values(spark, text.parse_double, ["NaN"])[0]) == "nan"
 

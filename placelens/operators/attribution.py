@@ -3,16 +3,16 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placelens.operators.joins import BROADCAST_BYTES, fits_broadcast, sized_join
+from placelens.operators.joins import BROADCAST_BYTES, fits_broadcast, match_keys, sized
 
 SLOT_KEYS = ["typename", "idx", "pagenum", "content"]
 INTERVAL = ["real_starttime", "real_endtime"]
 SLICES = 32
 
 
-def time_span(log: DataFrame, at: str = "dateline") -> tuple[int, int]:
-    """First and last second in the log: one aggregate over one column, one row to the driver."""
-    low, high = log.agg(F.min(at), F.max(at)).first()
+def time_span(slots: DataFrame, start: str = "real_starttime") -> tuple[int, int]:
+    """The first and the last second in which a slot starts."""
+    low, high = slots.agg(F.min(start), F.max(start)).first()
     return (0, 0) if low is None else (low, high)
 
 
@@ -30,25 +30,28 @@ def interval_join(
 ) -> DataFrame:
     """Inner join of slots and log rows on equal `keys` and `start <= at <= end` (whole seconds).
 
-    Time is cut into `slices` equal parts over `span`, by default the span of the log; whatever lies
-    outside belongs to the first or last part. A slot is repeated once per part it touches, at most
-    `slices` times however long it lasts, and the part joins the keys: a log row meets only the slots of
-    its own part, and a busy slot is spread over all parts. `right_open` excludes the end.
+    Time is cut into `slices` equal parts over `span`, by default from the first to the last slot start;
+    whatever lies outside belongs to the first or last part. A slot is repeated once per part it touches,
+    at most `slices` times however long it lasts, and the part joins the keys: a log row meets only the
+    slots of its own part, and a busy slot is spread over all parts. The span never changes the result;
+    it should cover the log. `right_open` excludes the end.
+
+    The slots are measured before the join, so pass a table rather than a long computation.
     """
     log = log.where(F.col(at).isNotNull())
-    low, high = span or time_span(log, at)
+    live = slots.where(F.col(start) <= F.col(end)).dropna(subset=keys)
+    low, high = span or time_span(live, start)
     width = (high - low) // slices + 1
 
     def part(second: Column) -> Column:
         inside = F.least(F.greatest(second, F.lit(low)), F.lit(high))
         return F.floor((inside - low) / width).cast("int")
 
-    live = slots.where(F.col(start) <= F.col(end))
     first, last = part(F.col(start)), part(F.col(end))
     fits = fits_broadcast(live, last - first + 1, broadcast_bytes)
     pieces = live.withColumn("_part", F.explode(F.sequence(first, last)))
     in_time = (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end) if right_open else F.col(at) <= F.col(end))
-    joined = sized_join(log.withColumn("_part", part(F.col(at))), pieces, [*keys, "_part"], "inner", fits)
+    joined = match_keys(log.withColumn("_part", part(F.col(at))), sized(pieces, fits), [*keys, "_part"])
     return joined.where(in_time).drop("_part")
 
 

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placelens.operators.joins import fits_broadcast, repeat_rows, sized_join
+from placelens.operators.joins import fits_broadcast, repeat_rows, sized
 
 
 def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple[DataFrame, bool]:
@@ -37,7 +37,7 @@ def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple
         for rank in range(len(catalogues))
     )
     best = counts.select("urlid", "rank", reduce(Column.__mul__, others).alias("repeats"))
-    return sized_join(stacked, best, ["urlid", "rank"], "inner", fits), fits
+    return stacked.join(sized(best, fits), ["urlid", "rank"]), fits
 
 
 def priority_enrich(scores: DataFrame, catalogues: list[DataFrame], dedup: bool = False) -> DataFrame:
@@ -49,7 +49,7 @@ def priority_enrich(scores: DataFrame, catalogues: list[DataFrame], dedup: bool
     winners, fits = catalogue_winners(catalogues, dedup)
     winners = winners.withColumnRenamed("url", "_url")
     ids = scores.withColumnRenamed("url", "urlid")
-    joined = sized_join(ids, winners, ["urlid"], "left", fits)
+    joined = ids.join(sized(winners, fits), "urlid", "left")
     repeated = repeat_rows(joined, F.coalesce("repeats", F.lit(1).cast("bigint")))
     known = F.col("rank").isNotNull()
     return repeated.select(

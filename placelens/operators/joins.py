@@ -1,5 +1,7 @@
 """Joins whose broadcast side is measured, and row repetition."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,14 +26,26 @@ def fits_broadcast(df: DataFrame, copies: Column | None = None, limit: int = BRO
     return (df.agg(F.sum(size)).first()[0] or 0) <= limit
 
 
-def sized_join(rows: DataFrame, side: DataFrame, on: list[str], how: str, side_fits: bool) -> DataFrame:
-    """Join `rows` to a `side` whose size was measured; `how` is `inner` or `left`.
+def sized(side: DataFrame, fits: bool) -> DataFrame:
+    """The smaller side of a join, marked by its measured size.
+
+    A side that fits is broadcast, so the other one is not shuffled at all. Otherwise both meet in a
+    sort-merge join, in which adaptive execution splits the partitions of a busy key among several tasks;
+    without that mark Spark might still broadcast the side on the strength of an estimate.
+    """
+    return F.broadcast(side) if fits else side.hint("merge")
+
+
+def match_keys(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal `keys`, taken from the side; NULL matches nothing.
 
-    A side that fits is broadcast, so `rows` are not shuffled at all. Otherwise both meet in a sort-merge
-    join, in which adaptive execution splits the partitions of a busy key among several tasks. Without the
-    hint Spark might still broadcast such a side on the strength of an estimate.
+    Null-safe equality on a side without NULLs says the same as `=`. But `=` would have Spark test the
+    keys of `rows` for NULL below the projection that computes them, and so compute a URL key three
+    times per row.
     """
-    return rows.join(F.broadcast(side) if side_fits else side.hint("merge"), on, how)
+    named = rows.withColumnsRenamed({key: f"_{key}" for key in keys})
+    equal = reduce(Column.__and__, (F.col(f"_{key}").eqNullSafe(F.col(key)) for key in keys))
+    return named.join(side, equal).drop(*(f"_{key}" for key in keys))
 
 
 def repeat_rows(df: DataFrame, times: Column, step: int = 4096) -> DataFrame:

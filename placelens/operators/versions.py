@@ -25,15 +25,11 @@ def next_times(history: DataFrame, key: list[str], order: str, tie: str, slice_u
         .agg(F.max(tie).alias("_last"))
         .withColumn("_slice", F.date_trunc(slice_unit, order))
     )
-    heads = times.groupBy(*key, "_slice").agg(F.min(order).alias("_head"))
-    markers = heads.select(
-        *key,
-        F.lead("_head").over(Window.partitionBy(*key).orderBy("_slice")).alias(order),
-        "_slice",
-    ).where(F.col(order).isNotNull())
-    marked = times.withColumn("_marker", F.lit(False)).unionByName(
-        markers.withColumn("_marker", F.lit(True)), allowMissingColumns=True
-    )
+    # Carrying the tie along keeps both uses of `times` alike, so its shuffle is done once and read twice.
+    heads = times.groupBy(*key, "_slice").agg(F.min(order).alias("_head"), F.max("_last").alias("_last"))
+    next_slice = F.lead("_head").over(Window.partitionBy(*key).orderBy("_slice"))
+    markers = heads.select(*key, next_slice.alias(order), "_last", "_slice").where(F.col(order).isNotNull())
+    marked = times.withColumn("_marker", F.lit(False)).unionByName(markers.withColumn("_marker", F.lit(True)))
     following = F.lead(order).over(Window.partitionBy(*key, "_slice").orderBy(order))
     return marked.withColumn("_next", following).where(~F.col("_marker")).select(*key, order, "_last", "_next")
 

@@ -17,6 +17,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
         **{name.replace("__", "."): value for name, value in conf.items()},
     }

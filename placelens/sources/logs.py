@@ -23,10 +23,13 @@ def one_day(table: DataFrame, day: str | None = None, **equals: str) -> DataFram
 def log_rows(log: DataFrame, columns: dict[str, str], partitions: int | None = None) -> DataFrame:
     """Rename to `typename, idx, pagenum, content, visitor, dateline` and key the URL.
 
-    Rows without visitor are dropped first. The place columns become text, whatever type the table
-    gives them. `partitions` spreads the rows before the URL patterns run, for unsplittable input.
+    Rows without visitor are dropped first, and rows without a place or URL, which match no slot. The
+    place columns become text, whatever type the table gives them. `partitions` spreads the rows before
+    the URL patterns run, for unsplittable input.
     """
     kept = log.where(is_present(F.col(columns["visitor"])))
+    for name in ("typename", "idx", "pagenum", "url"):
+        kept = kept.where(F.col(columns[name]).isNotNull())
     if partitions:
         kept = kept.repartition(partitions)
     return kept.select(

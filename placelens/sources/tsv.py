@@ -29,7 +29,8 @@ SHORT_VIDEO = Layout(url=6, title=4, typepy=9)
 
 
 def _cells(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("_cells", java_split(F.col("value"), "\t"))
+    """Split every line once: filters on the cells do not move below the generator and split again."""
+    return lines.withColumn("_cells", F.explode(F.array(java_split(F.col("value"), "\t"))))
 
 
 def _cell(position: int) -> Column:

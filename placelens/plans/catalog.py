@@ -23,6 +23,7 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 REPORT_DAY = "20240115"
+SCORE_RUN = "2024010100"
 JDBC_URL_SETTING = "spark.placelens.jdbc.url"
 
 
@@ -253,8 +254,7 @@ def partition_range_scan(spark, sf_dir):
 @query
 def hour_partition_scan(spark, sf_dir):
     root = _text_table(spark, sf_dir, "yyyyMMddHH")
-    run = REPORT_DAY + "10"
-    return tsv.score_lines(partitions.one_hour(spark, root, run), run)
+    return tsv.score_lines(partitions.one_hour(spark, root, SCORE_RUN), SCORE_RUN)
 
 
 @query

@@ -9,6 +9,10 @@ from placelens import session
 from placelens.jobs import attribution as attribution_job
 from placelens.jobs import scoring as scoring_job
 from placelens.operators.ranking import first_rows, top_m, top_m_per_group
+from placelens.operators.versions import union_histories
+from placelens.plans import catalog, inputs
+from placelens.plans.attribution import REPORT_COLUMNS
+from placelens.plans.catalog import QUERIES
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
@@ -147,3 +151,27 @@ def test_scoring_job(spark, tmp_path):
         scoring_job.run(spark, scoring_job.parser().parse_args(arguments))
         rows = spark.read.jdbc(url, "result").orderBy("rate").collect()
         assert [(r["rate"], r["urltype"], r["title"], r["url"]) for r in rows] == expected
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_report_has_one_row_per_slot(spark):
+    slots = catalog._slots(spark, SMALL)
+    report = QUERIES["attribution_report"](spark, SMALL)
+    assert report.count() == slots.count()
+    wrong = "uv_active < 1 or pv_active < uv_active or uv_show < 1 or pv_show < uv_show"
+    assert report.where(wrong).count() == 0
+    assert report.where("(uv_active is null) != (pv_active is null)").count() == 0
+
+
+def test_union_keeps_every_row(spark):
+    first, second = (inputs.history(spark, SMALL, name) for name in ("signup", "purchase"))
+    assert union_histories(first, second, first).count() == 2 * first.count() + second.count()
+
+
+def test_entry_runs(spark):
+    import __spark_entry__
+
+    assert __spark_entry__.entry(spark).columns == REPORT_COLUMNS
+    assert set(__spark_entry__.oracle_sql()) == set(__spark_entry__.queries())

@@ -48,3 +48,24 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
 def test_show_prints_the_batch(spark, capfd):
     tokens.show(token_count(spark.createDataFrame([("x",)], "value string")), 3)
     assert "batch 3" in capfd.readouterr().out
+
+
+def test_timed_batches(spark, tmp_path):
+    """The pace of a live run, ended by hand once the waiting files are counted."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("a b a",)], "body string").write.parquet(source)
+    stream = file_messages(spark, source, "body string", "body")
+    run = tokens.start(stream, tokens.batch_files(out), str(tmp_path / "offsets"))
+    try:
+        run.processAllAvailable()
+    finally:
+        run.stop()
+    assert counts(spark.read.schema("token string, n bigint").parquet(out)) == {"a": 2, "b": 1}
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    messages = spark.range(2000).selectExpr("concat_ws(' ', id % 7, id % 3, '', id % 11) as body")
+    messages.write.parquet(str(tmp_path / "in"))
+    stream = file_messages(spark, str(tmp_path / "in"), "body string", "body")
+    tokens.start(stream, tokens.batch_files(str(tmp_path / "out")), str(tmp_path / "offsets"), trigger=None).awaitTermination()
+    assert counts(spark.read.schema("token string, n bigint").parquet(str(tmp_path / "out"))) == counts(token_count(messages, "body"))

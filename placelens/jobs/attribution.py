@@ -8,7 +8,6 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placelens.functions.dates import run_bounds
 from placelens.jobs.options import add_jdbc, pair
 from placelens.plans.attribution import PAGE_SOURCETYPES, VIDEO_SOURCETYPES, attribution_report
 from placelens.session import build_session, written
@@ -43,7 +42,7 @@ def history(table: DataFrame, sourcetypes: tuple[str, ...], filters: dict[str, s
 
 def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     properties = dict(args.jdbc_option)
-    day = run_bounds(args.run[:8] + "235959")[2]
+    day = args.run[:8]
     if args.database:
         spark.catalog.setCurrentDatabase(args.database)
     histories = [

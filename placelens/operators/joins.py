@@ -37,9 +37,9 @@ def sized(side: DataFrame, fits: bool) -> DataFrame:
 
 
 def match_keys(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on equal `keys`, taken from the side; NULL matches nothing.
+    """Inner join on equal `keys`, taken from a side that holds no NULL in them.
 
-    Null-safe equality on a side without NULLs says the same as `=`. But `=` would have Spark test the
+    There null-safe equality says the same as `=`, and NULL in `rows` matches nothing. But `=` would have Spark test the
     keys of `rows` for NULL below the projection that computes them, and so compute a URL key three
     times per row.
     """

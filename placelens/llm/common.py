@@ -1,6 +1,7 @@
 """Helpers the operators share: stored tables, row identity, ranks over a whole table."""
 
 import math
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,16 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 BUCKET_ROWS = 20_000
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers started beside the driver import this package, as `--py-files` does on a cluster."""
+    here = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{known}:{here}".strip(":")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from placelens.llm import exact_dedup, mixing, sharding
+from placelens.llm import exact_dedup, mixing, sharding, simhash
 from placelens.llm.common import table
 
 
@@ -22,10 +22,17 @@ def op3_sharding(spark, sf_dir):
     )
 
 
+def op4_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op5_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sharding, op5_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sharding, op4_simhash, op5_mixing)}

@@ -37,7 +37,8 @@ def groups(rows: DataFrame, best: list[str], salts: int = SALTS) -> DataFrame:
         "digest", "content", F.struct(*best).alias("best"), (F.spark_partition_id() % salts).alias("salt")
     )
     salted = local.groupBy("digest", "salt", "content").agg(F.max("best").alias("best"), F.count("*").alias("size"))
-    whole = salted.groupBy("digest", "content").agg(F.max("best").alias("best"), F.sum("size").alias("group_size"))
+    # Rows that meet by digest also meet by digest and content: one shuffle serves both groupings.
+    whole = salted.repartition("digest").groupBy("digest", "content").agg(F.max("best").alias("best"), F.sum("size").alias("group_size"))
     per_digest = whole.groupBy("digest").agg(
         F.collect_list(F.struct("best", "group_size", "content")).alias("found")  # one entry, unless digests clash
     )

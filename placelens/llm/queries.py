@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from placelens.llm import exact_dedup, mixing, sharding, simhash
+from placelens.llm import exact_dedup, mixing, packing, sharding, simhash
 from placelens.llm.common import table
 
 
@@ -10,6 +10,16 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.verdicts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def tokenizer_file(name="byte_bpe_50k.json"):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file()).withColumnRenamed("id", "doc_id")
+
+
 def op3_sharding(spark, sf_dir):
     return sharding.interleave(table(spark, sf_dir, "documents"), 8).select(
         F.col("id").alias("doc_id"),
@@ -35,4 +45,4 @@ def op5_mixing(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_sharding, op4_simhash, op5_mixing)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing)}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from placelens.llm import exact_dedup, mixing, packing, sharding, simhash
+from placelens.llm import exact_dedup, langid, mixing, packing, sharding, simhash
 from placelens.llm.common import table
 
 
@@ -45,4 +45,11 @@ def op5_mixing(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing)}
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    learned = langid.profiles(docs.where(~F.coalesce(held_out, F.lit(False))))
+    return langid.predict(docs, learned, ["doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out")])
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op8_language_id)}

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from placelens.llm import exact_dedup, langid, mixing, packing, sharding, simhash
-from placelens.llm.common import table
+from placelens.llm import exact_dedup, langid, mixing, packing, sharding, simhash, toxicity
+from placelens.llm.common import stored, table
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -52,4 +52,14 @@ def op8_language_id(spark, sf_dir):
     return langid.predict(docs, learned, ["doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out")])
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op8_language_id)}
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    rows = stored(toxicity.labelled(docs.where(~held_out), table(spark, sf_dir, "labels")), "labelled")
+    found = toxicity.score(docs, toxicity.train(rows))
+    return found.withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op8_language_id, op10_toxicity)}

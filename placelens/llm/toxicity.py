@@ -3,10 +3,11 @@
 1. Every word and every word beginning of 4 to 6 letters is counted over all labelled training documents: in how many toxic and
    how many clean ones it occurs. Its evidence is the lower bound of its log-odds, so that rare words prove little.
 2. Words of training documents become labelled tokens: toxic if the document is and the word has evidence. The evidence used here
-   comes from the other half of the training documents (halves by the text's hash, so copies stay together); words that are
-   toxic by chance only are therefore seen in clean documents too.
+   comes from the other half of the training documents (halves by the longest word, so that exact and near copies mostly stay
+   together); words that are toxic by chance only are therefore seen in clean documents too.
 3. A chain with two states is fitted to a bounded sample of stretches of such tokens (`CHAINS` stretches of `STRETCH` words).
-   Its features are the evidence classes of a word and its two neighbours.
+   Its features say which evidence classes a word and its two neighbours reach; weights of the word itself are not negative, so
+   more evidence never counts for less.
 4. Every document's whole text is one chain. Forward-backward gives each word's marginal probability; the largest is the
    document's score, and words of at least `TOXIC` join to spans with offsets.
 
@@ -35,7 +36,7 @@ CHAINS = 20_000
 STRETCH = 64
 TOXIC = 0.5
 CLASSES = 8
-LEAST = 1.0
+LEAST = 2.0
 DEVIATIONS = 1.5
 STEPS = 250
 PENALTY = 1e-3
@@ -54,7 +55,8 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).dropna()
     one = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    half = F.xxhash64("text").bitwiseAND(1).cast("int")
+    words = F.transform(F.split("text", r"\s+"), lambda word: F.struct(F.length(word), word))
+    half = F.xxhash64(F.array_max(words)).bitwiseAND(1).cast("int")  # by the longest word, which copies share
     return measured_join(rows, one, "id").select("text", "toxic", half.alias("half"))
 
 
@@ -154,7 +156,7 @@ def marginals(emission: np.ndarray, moves: np.ndarray, lengths: np.ndarray) -> n
 
 
 class Chain:
-    """A fitted chain: emission weights by class of the word, of the one before and of the one after; move weights."""
+    """A fitted chain: emission weights of every class that the word, the one before and the one after reach; move weights."""
 
     def __init__(self):
         self.bias = -3.0
@@ -165,7 +167,8 @@ class Chain:
         """Emission odds for every number that `_inputs` makes."""
         number = np.arange(CLASSES**3)
         own, before, after = number % CLASSES, number // CLASSES % CLASSES, number // CLASSES**2
-        score = self.bias + self.weights[0][own] + self.weights[1][before] + self.weights[2][after]
+        own_sum, before_sum, after_sum = np.cumsum(self.weights, axis=1)
+        score = self.bias + own_sum[own] + before_sum[before] + after_sum[after]
         return np.exp(np.clip(score, -30, 30))
 
     def fit(self, stretches: np.ndarray, labels: np.ndarray, times: np.ndarray) -> None:
@@ -185,12 +188,14 @@ class Chain:
             emission, moves = self.table()[inputs], np.exp(self.moves)
             likely = marginals(emission, moves, lengths)
             gap = (truth - likely) * weight
-            slope = [[gap.sum()], *(np.bincount(part.ravel(), gap.ravel(), CLASSES) for part in parts)]
+            by_class = (np.bincount(part.ravel(), gap.ravel(), CLASSES) for part in parts)
+            slope = [[gap.sum()], *(np.cumsum(sums[::-1])[::-1] for sums in by_class)]
             slope.append((pairs - self._pairs(emission, moves, weight)).ravel())
             gradient = np.concatenate(slope) - PENALTY * params
             mean = 0.9 * mean + 0.1 * gradient
             square = 0.99 * square + 0.01 * gradient**2
             params = params + 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+            params[1 : 1 + CLASSES] = np.maximum(params[1 : 1 + CLASSES], 0)
         self._set(params)
 
     def _set(self, params: np.ndarray) -> None:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from placelens.llm import exact_dedup, langid, mixing, packing, sharding, simhash, toxicity
+from placelens.llm import ann, exact_dedup, langid, mixing, packing, sharding, simhash, toxicity
 from placelens.llm.common import stored, table
 
 
@@ -45,6 +45,10 @@ def op5_mixing(spark, sf_dir):
     )
 
 
+def op6_nearest(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -62,4 +66,4 @@ def op10_toxicity(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op8_language_id, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op8_language_id, op10_toxicity)}

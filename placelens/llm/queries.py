@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from placelens.llm import ann, exact_dedup, langid, mixing, packing, sharding, simhash, toxicity
+from placelens.llm import ann, exact_dedup, langid, mixing, packing, sharding, simhash, toxicity, url_rules
 from placelens.llm.common import stored, table
 
 
@@ -56,6 +56,10 @@ def op8_language_id(spark, sf_dir):
     return langid.predict(docs, learned, ["doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out")])
 
 
+def op9_url_rules(spark, sf_dir):
+    return url_rules.judged(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -66,4 +70,4 @@ def op10_toxicity(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op8_language_id, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op8_language_id, op9_url_rules, op10_toxicity)}

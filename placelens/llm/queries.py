@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from placelens.llm import ann, exact_dedup, langid, mixing, packing, sharding, simhash, toxicity, url_rules
-from placelens.llm.common import stored, table
+from placelens.llm import ann, exact_dedup, langid, mixing, packing, sharding, simhash, token_counts, toxicity, url_rules
+from placelens.llm.common import measured_join, plain_lower, stored, table
+from placelens.session import shared_folder
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -49,6 +50,29 @@ def op6_nearest(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op7_token_counts(spark, sf_dir):
+    """Every document is counted and inserted; then toxic ones are deleted and low-quality ones lower-cased, recounted and revised.
+
+    The second batch is delivered twice, as after a lost acknowledgement.
+    """
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"), F.min("quality").alias("quality")
+    )
+    docs = measured_join(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), labels, "doc_id", "left")
+    kind = F.when(F.col("toxic") == 1, "delete").when(F.col("quality") == 0, "revise")
+    changed = docs.withColumn("kind", kind)
+    texts = changed.withColumn("lower", F.when(F.col("kind") == "revise", plain_lower(F.col("text"))))
+    first = token_counts.counted(texts, tokenizer_file(), into="previous")
+    rows = stored(token_counts.counted(first, tokenizer_file(), "lower"), "token-counts")
+    version = F.lit("byte_bpe_50k").alias("version")
+    rollup = shared_folder(spark, "rollup")
+    inserts = rows.select(F.lit("insert").alias("kind"), "source", "lang", version, F.col("previous").alias("tokens"), "previous")
+    changes = rows.where("kind IS NOT NULL").select("kind", "source", "lang", version, "tokens", "previous")
+    for batch, part in (("0", inserts), ("1", changes), ("1", changes)):
+        token_counts.commit(part, rollup, batch)
+    return token_counts.totals(spark, rollup)
+
+
 def op8_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -70,4 +94,4 @@ def op10_toxicity(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op8_language_id, op9_url_rules, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op7_token_counts, op8_language_id, op9_url_rules, op10_toxicity)}

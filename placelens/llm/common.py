@@ -58,6 +58,14 @@ def row_digest(df: DataFrame) -> Column:
     return F.md5(F.to_json(F.struct(*(F.col(f"`{name}`") for name in df.columns))).cast("binary"))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores in front as it takes to be no column of `df`."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def one_row_each(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """The rows whose `key` is in `wanted` (distinct keys); of rows that share a key, one.
 

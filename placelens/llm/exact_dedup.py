@@ -18,7 +18,7 @@ of them; an empty table gives no rows; other columns are not looked at, whatever
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelens.llm.common import measured_join, one_row_each, plain_lower, row_digest, stored
+from placelens.llm.common import fresh_name, measured_join, one_row_each, plain_lower, row_digest, stored
 
 SALTS = 64
 
@@ -68,5 +68,6 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay: one for each text, that with the largest id (then the largest row digest)."""
     rows = _digested(docs, id_col, text_col, row_digest(docs).alias("row"))
-    wanted = groups(rows, ["id", "row"]).select(F.col("best.row").alias("_row"))
-    return one_row_each(docs.withColumn("_row", row_digest(docs)), wanted, "_row").drop("_row")
+    key = fresh_name(docs, "_row")
+    wanted = groups(rows, ["id", "row"]).select(F.col("best.row").alias(key))
+    return one_row_each(docs.withColumn(key, row_digest(docs)), wanted, key).drop(key)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelens.llm.common import measured_join, one_row_each, row_digest, stored
+from placelens.llm.common import fresh_name, measured_join, one_row_each, row_digest, stored
 from placelens.llm.components import components
 
 SHINGLE = 4
@@ -193,10 +193,11 @@ def survivors(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS, busy: int = BUSY
 ) -> DataFrame:
     """The rows of `docs` that stay: one for each component, that with the smallest id (null last, then the smallest row digest)."""
-    key = [F.col(id_col).alias("id"), row_digest(docs).alias("row")]
-    rows = stored(fingerprints(docs, key, text_col, shingle), "fingerprints")
+    key = fresh_name(docs, "_row")
+    named = [F.col(id_col).alias("id"), row_digest(docs).alias("row")]
+    rows = stored(fingerprints(docs, named, text_col, shingle), "fingerprints")
     rooted = stored(_rooted(rows, bits, busy), "rooted")
     grouped = measured_join(rows, rooted, "print", "left").withColumn("root", F.coalesce("root", "print"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row")))
-    wanted = stored(grouped.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias("_row")), "wanted")
-    return one_row_each(docs.withColumn("_row", row_digest(docs)), wanted, "_row").drop("_row")
+    wanted = stored(grouped.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(key)), "wanted")
+    return one_row_each(docs.withColumn(key, row_digest(docs)), wanted, key).drop(key)

@@ -1,0 +1,42 @@
+import pytest
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+SENTENCE = "the quick brown fox jumps over the lazy dog and runs far away from here "
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows, and columns named like the operators' own."""
+    rows = [
+        (1, "Alpha beta gamma delta epsilon", "en", "a", 30),
+        (2, "ALPHA beta gamma delta epsilon", "en", "a", 30),
+        (2, "ALPHA beta gamma delta epsilon", "en", "a", 30),
+        (3, None, "en", "b", None),
+        (4, "", None, None, 0),
+        (5, " \t\n", "fr", "b", 3),
+        (None, "Alpha beta gamma delta epsilon", "en", "a", 30),
+        (None, None, None, None, None),
+        (None, None, None, None, None),
+        (6, "ÄRGER über alles", "de", "c", 16),
+        (7, "ärger über alles", "de", "c", 16),
+        (8, SENTENCE * 2000, "en", "c", 140_000),
+        (9, SENTENCE * 2000 + "end", "en", "a", 140_003),
+        (10, "x" * 50_000, "en", "b", 50_000),
+        (11, "12345 67890 !!!", "en", None, 15),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    extra = {name: F.lit(name) for name in (
+        "id", "_row", "row", "key", "digest", "content", "salt", "size", "bucket", "print", "tokens", "curve", "place", "score", "url", "_id")}
+    return docs.withColumns(extra)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def odd_rows(odd_docs):
+    return [(row.doc_id, row.text, row.lang, row.source) for row in odd_docs.select("doc_id", "text", "lang", "source").collect()]

@@ -1,0 +1,40 @@
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from placelens.llm import common, sharding
+
+
+def _shards(rows):
+    shards = {}
+    for row in rows:
+        shards.setdefault(row.shard, []).append(row)
+    return shards
+
+
+def test_odd_rows(odd_docs, odd_rows, no_docs):
+    found = sharding.interleave(odd_docs, 4).collect()
+    expected = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in odd_rows)
+    assert Counter((row.id, row.size, row.text_crc32) for row in found) == expected
+    for rows in _shards(found).values():
+        assert sorted(row.slot for row in rows) == list(range(len(rows)))
+        assert len(rows) in (len(odd_rows) // 4, len(odd_rows) // 4 + 1)
+    assert sharding.interleave(no_docs, 4).collect() == []
+
+
+def test_every_shard_has_the_mixture(spark, monkeypatch):
+    monkeypatch.setattr(common, "BUCKET_ROWS", 100)
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("source"),
+    )
+    found = sharding.interleave(docs, 8).collect()
+    assert {len(rows) for rows in _shards(found).values()} == {375}
+    total = Counter(row.stratum for row in found)
+    for rows in _shards(found).values():
+        for stratum, n in Counter(row.stratum for row in rows).items():
+            assert abs(n - total[stratum] / 8) <= 2
+    again = sharding.interleave(docs.repartition(5), 8).collect()
+    assert {(r.id, r.shard, r.slot) for r in found} == {(r.id, r.shard, r.slot) for r in again}

@@ -1,0 +1,105 @@
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from placelens.llm import simhash
+from placelens.llm.components import components
+
+
+def _plain_fingerprint(text):
+    words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").translate(
+        {code: " " for code in (32, 9, 10, 11, 12, 13)}).split(" ") if w]
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _plain_components(pairs, bits=4):
+    prints = sorted({p for _, p in pairs})
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for a in prints:
+        for b in prints:
+            if a < b and (a ^ b).bit_count() <= bits:
+                root[find(b)] = find(a)
+    least = {}
+    for i, p in pairs:
+        if i is not None:
+            least[find(p)] = min(i, least.get(find(p), i))
+    return {p: least.get(find(p)) for p in prints}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abAB \t\n\x0b\x1c\x85é ", max_size=60))
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == _plain_fingerprint(text)
+
+
+def test_xxhash_is_sparks(spark):
+    from pyspark.sql import functions as F
+
+    text = "one two three four"
+    here = spark.range(1).select(F.xxhash64(F.lit(text))).first()[0]
+    assert here % 2**64 == xxhash.xxh64_intdigest(text.encode(), 42) == simhash.fingerprint(text)
+
+
+@pytest.mark.parametrize("busy", [2000, 1])
+def test_near_duplicates(odd_docs, odd_rows, busy):
+    found = simhash.near_duplicates(odd_docs, busy=busy).collect()
+    pairs = [(i, _plain_fingerprint(t)) for i, t, *_ in odd_rows]
+    expected = _plain_components(pairs)
+    key = lambda row: tuple((value is None, value or 0) for value in row)
+    assert sorted(((r.id, r.print % 2**64, r.component_id) for r in found), key=key) == sorted(
+        ((i, p, expected[p]) for i, p in pairs), key=key
+    )
+
+
+def test_empty_and_survivors(odd_docs, odd_rows, no_docs):
+    assert simhash.near_duplicates(no_docs).collect() == []
+    kept = simhash.survivors(odd_docs)
+    assert kept.columns == odd_docs.columns
+    rows = kept.select("doc_id", "text").collect()
+    pairs = [(i, _plain_fingerprint(t)) for i, t, *_ in odd_rows]
+    classes = set(_plain_components(pairs).values())
+    assert sorted(row.doc_id for row in rows) == sorted(classes)
+    assert simhash.survivors(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("count", [100, 40_000, 10**9])
+@pytest.mark.parametrize("busy", [10**9, 3])
+def test_links_in_dense_clusters(spark, count, busy, monkeypatch):
+    """Any number of segments, with and without busy buckets, connects what all pairs connect."""
+    parts = simhash.segments(count)
+    monkeypatch.setattr(simhash, "segments", lambda *_: parts)
+    random = np.random.default_rng(3)
+    centres = random.integers(0, 2**63, 6).tolist()
+    prints = set()
+    for centre in centres:
+        for _ in range(12):
+            flips = random.choice(64, random.integers(0, 5), replace=False)
+            prints.add(centre ^ int(sum(1 << int(b) for b in flips)))
+    pairs = [(i, p) for i, p in enumerate(sorted(prints))]
+    expected = _plain_components(pairs)
+    frame = spark.createDataFrame([(simhash._signed(p),) for _, p in pairs], "print bigint")
+    number = {simhash._signed(p): i for i, p in pairs}
+    groups = {}
+    for row in components(simhash.links(frame, busy=busy)).collect():
+        groups.setdefault(row.root, set()).add(number[row.node])
+    found = {i: min(group) for group in groups.values() for i in group}
+    assert all(found.get(i, i) == expected[p] for i, p in pairs)
+
+
+def test_components_of_a_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert found == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []

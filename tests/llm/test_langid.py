@@ -1,0 +1,54 @@
+from collections import Counter
+
+import pytest
+
+from placelens.llm import langid
+from placelens.llm.common import table
+from placelens.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def _plain_profile(texts):
+    counts = Counter(gram for text in texts for word in langid._words(text) for gram in langid._grams(word))
+    return [gram for gram, _ in sorted(counts.items(), key=lambda item: (-item[1], item[0]))[: langid.PROFILE]]
+
+
+def test_profiles_and_odd_rows(odd_docs, odd_rows, no_docs):
+    learned = langid.profiles(odd_docs)
+    texts = {}
+    for _, text, lang, _ in odd_rows:
+        if text is not None and lang is not None:
+            texts.setdefault(lang, []).append(text)
+    expected = {lang: _plain_profile(some) for lang, some in texts.items()}
+    assert learned == {lang: grams for lang, grams in expected.items() if grams}
+    found = langid.predict(odd_docs, learned, ["doc_id", "text"]).collect()
+    assert len(found) == len(odd_rows)
+    for row in found:
+        letters = any(map(str.isalpha, row.text or ""))
+        assert (row.lang_pred == "und") == (not letters)
+        assert 0 <= row.score <= 1
+    kept = langid.accepted(odd_docs, learned)
+    assert kept.columns == odd_docs.columns
+    assert kept.count() == sum(any(map(str.isalpha, text or "")) for _, text, *_ in odd_rows)
+    assert langid.profiles(no_docs) == {}
+    assert langid.predict(no_docs, {}, ["doc_id"]).collect() == []
+    assert {row.lang_pred for row in langid.predict(odd_docs, {}, ["doc_id"]).collect()} == {"und"}
+
+
+def test_distance_by_hand():
+    model = langid.RankOrder({"xx": ["a", "_a", "b"], "yy": ["b"]})
+    lang, score = model.predict("a")  # n-grams a, _a, a_, _a_ once each
+    assert lang == "xx"
+    grams = sorted(["a", "_a", "a_", "_a_"], key=lambda g: model.ties[model.numbers[g]])
+    off = {"a": 0, "_a": 1}
+    distance = sum(abs(off[g] - place) if g in off else langid.PROFILE for place, g in enumerate(grams))
+    assert score == pytest.approx(1 - distance / (langid.PROFILE * 4))
+    assert langid.RankOrder({"b": ["q"], "a": ["q"]}).predict("zzz")[0] == "b"  # ties go to the first profile given
+
+
+def test_held_out_accuracy(spark):
+    found = QUERIES["op8_language_id"](spark, SF_DIR).join(table(spark, SF_DIR, "documents").select("doc_id", "lang"), "doc_id")
+    rows = found.where("held_out AND lang IS NOT NULL").collect()
+    assert len(rows) > 150
+    assert sum(row.lang == row.lang_pred for row in rows) >= 0.97 * len(rows)

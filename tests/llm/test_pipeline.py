@@ -1,0 +1,48 @@
+from collections import Counter
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from placelens.llm import simhash
+from placelens.llm.common import LOWER, UPPER, stored
+
+SF_DIR = "/root/testdata/sf0.01"
+PLAIN = str.maketrans(UPPER, LOWER)
+
+
+def test_stages_on_odd_tables(spark, odd_docs, no_docs):
+    for docs in (odd_docs, no_docs):
+        columns = docs.columns
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stored(stage(spark, docs, SF_DIR), "stage")
+            assert docs.columns == columns
+        corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+
+
+def test_whole_run(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {}
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stored(stage(spark, now, SF_DIR), "stage")
+        kept[name] = [(r.doc_id, r.text) for r in now.select("doc_id", "text").collect()]
+    everything = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(kept["language ID"]) == sorted(everything)  # every document has letters
+    largest = {}
+    for i, text in everything:
+        key = text.translate(PLAIN)
+        largest[key] = max(i, largest.get(key, i))
+    assert sorted(i for i, _ in kept["exact dedup"]) == sorted(largest.values())
+    prints = {i: simhash.fingerprint(t) for i, t in kept["exact dedup"]}
+    stay = {i for i, _ in kept["SimHash near-dedup"]}
+    for i in prints:  # no survivor links to another, and who went links to someone smaller
+        near = [j for j in prints if j != i and (prints[i] ^ prints[j]).bit_count() <= simhash.BITS]
+        assert i in stay if not near else True
+        assert not (i in stay and any(j in stay for j in near))
+    copies = Counter(i for i, _ in kept["mixing"])
+    assert set(copies) <= stay and max(copies.values()) <= 2
+    pieces = corpus_pipeline.run(spark, SF_DIR)
+    lengths = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    assert lengths.where("n <> 1024").count() <= 1
+    starts = Counter(r.doc_id for r in pieces.where("start = 0").collect())
+    assert starts == copies

@@ -1,0 +1,69 @@
+import pytest
+from pyspark.errors import PySparkException
+
+from placelens.llm import token_counts
+from placelens.llm.queries import QUERIES, tokenizer_file
+from placelens.session import shared_folder
+
+SF_DIR = "/root/testdata/sf0.01"
+CHANGES = "kind string, source string, lang string, version string, tokens bigint, previous bigint"
+
+
+def _totals(spark, rollup):
+    return {(r.source, r.lang, r.version): (r.documents, r.tokens) for r in token_counts.totals(spark, rollup).collect()}
+
+
+def test_batches_count_once(spark):
+    rollup = shared_folder(spark, "rollup-test")
+    batches = {
+        "1": [("insert", "a", "en", "v", 10, None), ("insert", "a", "en", "v", 10, None), ("insert", None, None, None, 5, None)],
+        "2": [("delete", "a", "en", "v", None, 10), ("revise", "a", "en", "v", 7, 10), ("insert", "b", "fr", "v", 3, None)],
+        "3": [],
+        "4": [("delete", "b", "fr", "v", 99, 3), ("revise", "a", "en", "v", 8, 7), ("delete", "c", "xx", "v", 1, None), ("insert", "c", "xx", "v", None, None)],
+    }
+    for name in ("1", "2", "2", "3", "1", "4", "2"):
+        token_counts.commit(spark.createDataFrame(batches[name], CHANGES), rollup, name)
+    expected = {("a", "en", "v"): (1, 8), (None, None, None): (1, 5)}
+    assert _totals(spark, rollup) == expected
+    other = shared_folder(spark, "rollup-test")
+    token_counts.compacted(spark, rollup, other)
+    token_counts.commit(spark.createDataFrame([("insert", "a", "en", "v", 2, None)], CHANGES), other, "5")
+    assert _totals(spark, other) == expected | {("a", "en", "v"): (2, 10)}
+
+
+def test_unknown_changes_are_errors(spark):
+    bad = spark.createDataFrame([("upsert", "a", "en", "v", 1, None)], CHANGES)
+    with pytest.raises(PySparkException):
+        token_counts.commit(bad, shared_folder(spark, "rollup-test"), "1")
+
+
+def test_counts_of_odd_texts(odd_docs, odd_rows, no_docs):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_file())
+    found = token_counts.counted(odd_docs.select("doc_id", "text"), tokenizer_file(), into="n").collect()
+    expected = [(i, len(whole.encode(t or "", add_special_tokens=False).ids)) for i, t, *_ in odd_rows]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+    assert token_counts.counted(no_docs, tokenizer_file()).collect() == []
+
+
+def test_query_equals_a_full_recount(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_file())
+    labels = {}
+    for row in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect():
+        labels[row.doc_id] = (row.toxic, row.quality)
+    expected = {}
+    for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect():
+        toxic, quality = labels.get(row.doc_id, (None, None))
+        if toxic == 1:
+            continue
+        text = row.text or ""
+        if quality == 0:
+            text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        key = (row.source, row.lang, "byte_bpe_50k")
+        documents, tokens = expected.get(key, (0, 0))
+        expected[key] = (documents + 1, tokens + len(whole.encode(text, add_special_tokens=False).ids))
+    found = {(r.source, r.lang, r.version): (r.documents, r.tokens) for r in QUERIES["op7_token_counts"](spark, SF_DIR).collect()}
+    assert found == expected

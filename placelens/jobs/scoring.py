@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from placelens.jobs.options import add_jdbc
 from placelens.plans.scoring import ScoreInputs, score_enrichment
-from placelens.session import build_session
+from placelens.session import build_session, remove_written
 from placelens.sinks.jdbc import replace_part
 from placelens.sinks.tables import replace_one_part, result_rows
 
@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     for root in ("scores", "crawler", "video", "short-video"):
         parser.add_argument(f"--{root}", required=True, help="root folder of the text table")
     parser.add_argument("--dedup", action="store_true", help="one row per id and catalogue")
+    parser.add_argument("--keep-empty", action="store_true", help="let catalogue rows without an id match scores without one")
     parser.add_argument("--output", help="root folder of the result")
     add_jdbc(parser)
     parser.add_argument("--table", help="result table in the database, instead of --output")
@@ -32,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     inputs = ScoreInputs(args.scores, args.crawler, args.video, args.short_video)
-    rows = result_rows(score_enrichment(spark, args.run, inputs, args.dedup))
+    rows = result_rows(score_enrichment(spark, args.run, inputs, args.dedup, args.keep_empty))
     part = {"dt": args.run[:8], "hour": args.run[8:10]}
     if args.output:
         replace_one_part(rows, args.output, part)
@@ -45,8 +46,11 @@ def main() -> None:
     if bool(args.output) == bool(args.table):
         raise SystemExit("give either --output or --table")
     spark = build_session(f"scores-{args.run}")
-    run(spark, args)
-    spark.stop()
+    try:
+        run(spark, args)
+    finally:
+        remove_written(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

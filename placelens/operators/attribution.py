@@ -3,17 +3,46 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placelens.operators.joins import BROADCAST_BYTES, fits_broadcast, match_keys, sized
+from placelens.operators.joins import BROADCAST_BYTES, match_keys, measurable, row_bytes, sized
 
 SLOT_KEYS = ["typename", "idx", "pagenum", "content"]
 INTERVAL = ["real_starttime", "real_endtime"]
 SLICES = 32
 
+# Parts of time that may be chosen, the versions of one key that a part should hold, and how often a slot may repeat on average.
+MORE_SLICES = (128, 512, 2048, 8192)
+VERSIONS_A_PART = 64
+REPEATS = 4
 
-def time_span(slots: DataFrame, start: str = "real_starttime") -> tuple[int, int]:
-    """The first and the last second in which a slot starts."""
-    low, high = slots.agg(F.min(start), F.max(start)).first()
-    return (0, 0) if low is None else (low, high)
+
+def _part(second: Column, low: int, high: int, slices: int) -> Column:
+    inside = F.least(F.greatest(second, F.lit(low)), F.lit(high))
+    return F.floor((inside - low) / ((high - low) // slices + 1)).cast("int")
+
+
+def _measured(
+    live: DataFrame, keys: list[str], start: str, end: str, span: tuple[int, int] | None, slices: int | None
+) -> tuple[int, int, int, int]:
+    """First and last second, number of parts, and bytes of the slots once they are cut.
+
+    Two aggregates, one row each. Without a given number, busy keys ask for more parts than `SLICES`, and get as
+    many as keep the slots from repeating more than `REPEATS` times on average (or no more than `SLICES` would).
+    """
+    per_key = live.groupBy(*keys).agg(F.count("*").alias("n"), F.min(start).alias("low"), F.max(start).alias("high"))
+    most, low, high = per_key.agg(F.max("n"), F.min("low"), F.max("high")).first()
+    if most is None:
+        return 0, 0, slices or SLICES, 0
+    low, high = span or (low, high)
+    wanted = -(-most // VERSIONS_A_PART)
+    choices = [slices] if slices else [SLICES, *(number for number in MORE_SLICES if number < 4 * wanted)]
+    repeats = [
+        (_part(F.col(end), low, high, number) - _part(F.col(start), low, high, number) + 1).cast("bigint") for number in choices
+    ]
+    size = row_bytes(live)
+    sums = live.agg(F.count("*"), *(F.sum(n) for n in repeats), *(F.sum(n * size) for n in repeats)).first()
+    count, copies, sizes = sums[0], sums[1 : 1 + len(choices)], sums[1 + len(choices) :]
+    chosen = max(i for i in range(len(choices)) if i == 0 or copies[i] <= max(REPEATS * count, copies[0]))
+    return low, high, choices[chosen], sizes[chosen]
 
 
 def interval_join(
@@ -24,7 +53,7 @@ def interval_join(
     start: str = "real_starttime",
     end: str = "real_endtime",
     span: tuple[int, int] | None = None,
-    slices: int = SLICES,
+    slices: int | None = None,
     right_open: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -33,22 +62,21 @@ def interval_join(
     Time is cut into `slices` equal parts over `span`, by default from the first to the last slot start;
     whatever lies outside belongs to the first or last part. A slot is repeated once per part it touches,
     at most `slices` times however long it lasts, and the part joins the keys: a log row meets only the
-    slots of its own part, and a busy slot is spread over all parts. The span never changes the result;
-    it should cover the log. `right_open` excludes the end.
+    slots of its own part, and a busy slot is spread over all parts. Without a number, `slices` follows from the
+    versions of the busiest key. Neither span nor number ever changes the result; the span should cover the log.
+    `right_open` excludes the end.
 
     The slots are measured before the join, so pass a table rather than a long computation.
     """
     log = log.where(F.col(at).isNotNull())
     live = slots.where(F.col(start) <= F.col(end)).dropna(subset=keys)
-    low, high = span or time_span(live, start)
-    width = (high - low) // slices + 1
+    low, high, slices, size = _measured(live, keys, start, end, span, slices)
 
     def part(second: Column) -> Column:
-        inside = F.least(F.greatest(second, F.lit(low)), F.lit(high))
-        return F.floor((inside - low) / width).cast("int")
+        return _part(second, low, high, slices)
 
     first, last = part(F.col(start)), part(F.col(end))
-    fits = fits_broadcast(live, last - first + 1, broadcast_bytes)
+    fits = measurable(live) and size <= broadcast_bytes
     pieces = live.withColumn("_part", F.explode(F.sequence(first, last)))
     in_time = (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end) if right_open else F.col(at) <= F.col(end))
     joined = match_keys(log.withColumn("_part", part(F.col(at))), sized(pieces, fits), [*keys, "_part"])

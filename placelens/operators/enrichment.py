@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 from placelens.operators.joins import fits_broadcast, repeat_rows, sized
 
 
-def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple[DataFrame, bool]:
+def catalogue_winners(
+    catalogues: list[DataFrame], dedup: bool = False, keep_empty: bool = False
+) -> tuple[DataFrame, bool]:
     """Per `urlid`, the rows of the first catalogue that holds it, with the number of times each counts.
 
     Also tells whether all catalogues together, and so the winners, are small enough to broadcast.
 
     A left join of every catalogue in turn would repeat a winning row once for each combination of
     rows the other catalogues hold under that id. `repeats` is that number, from counts alone.
+
+    All rows whose URL has no id share the empty one, and say nothing about each other. They are left out unless
+    `keep_empty` is set, which repeats a score with an empty id for every combination of them.
     """
+    known = F.lit(True) if keep_empty else F.col("urlid") != ""
     ranked = [
-        catalogue.select("urlid", "title", "typepy", "url", F.lit(rank).alias("rank"))
+        catalogue.where(known).select("urlid", "title", "typepy", "url", F.lit(rank).alias("rank"))
         for rank, catalogue in enumerate(catalogues)
     ]
     if dedup:
@@ -40,13 +46,15 @@ def catalogue_winners(catalogues: list[DataFrame], dedup: bool = False) -> tuple
     return stacked.join(sized(best, fits), ["urlid", "rank"]), fits
 
 
-def priority_enrich(scores: DataFrame, catalogues: list[DataFrame], dedup: bool = False) -> DataFrame:
+def priority_enrich(
+    scores: DataFrame, catalogues: list[DataFrame], dedup: bool = False, keep_empty: bool = False
+) -> DataFrame:
     """Add title, type and URL to `dt, hour, url, rate`, where `url` is a content id.
 
     The first catalogue holding the id decides, even where its values are NULL. An id no catalogue
-    knows keeps NULL title and type and stands in for its own URL.
+    knows keeps NULL title and type and stands in for its own URL; so does the empty id, unless `keep_empty` is set.
     """
-    winners, fits = catalogue_winners(catalogues, dedup)
+    winners, fits = catalogue_winners(catalogues, dedup, keep_empty)
     winners = winners.withColumnRenamed("url", "_url")
     ids = scores.withColumnRenamed("url", "urlid")
     joined = ids.join(sized(winners, fits), "urlid", "left")

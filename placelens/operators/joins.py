@@ -1,5 +1,6 @@
 """Joins whose broadcast side is measured, and row repetition."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,19 +10,27 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """The payload of one row in memory, as an expression."""
+    """The payload of one row in memory, as an expression. Columns must be numbers, dates, times, text or binary."""
     size = F.lit(16 * (len(df.columns) + 1))
     for name, kind in df.dtypes:
-        if kind == "string":
+        if kind in ("string", "binary"):
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
     return size.cast("bigint")
 
 
+def measurable(df: DataFrame) -> bool:
+    """Whether `row_bytes` knows every column's size; arrays, maps, structs and the like have no bound."""
+    flat = r"string|binary|boolean|tinyint|smallint|int|bigint|float|double|decimal\(.*|date|timestamp.*|void|interval.*"
+    return all(re.fullmatch(flat, kind) for _, kind in df.dtypes)
+
+
 def fits_broadcast(df: DataFrame, copies: Column | None = None, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the rows of `df`, each counted `copies` times, measure at most `limit` bytes.
 
-    One aggregate with one row to the driver; no estimate is involved.
+    One aggregate with one row to the driver; no estimate is involved. Rows with a column that can't be measured never fit.
     """
+    if not measurable(df):
+        return False
     size = row_bytes(df) if copies is None else row_bytes(df) * copies
     return (df.agg(F.sum(size)).first()[0] or 0) <= limit
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placelens.functions.urls import SLOT_ID_DIGITS, url_id
+from placelens.operators.joins import fits_broadcast, sized
 
 
 def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
@@ -17,12 +18,12 @@ def lookup_fallback(
 ) -> DataFrame:
     """Add `into`: the lookup's `name` for `key`, or the key itself where the lookup has none.
 
-    Repeated lookup keys repeat rows unless `dedup` is set.
+    Repeated lookup keys repeat rows unless `dedup` is set. The lookup is measured when the join is built.
     """
     names = lookup.select(F.col(key), F.col(name).alias("_name"))
     if dedup:
         names = one_per_key(names, key)
-    joined = df.join(names, key, "left")
+    joined = df.join(sized(names, fits_broadcast(names)), key, "left")
     return joined.withColumn(into or name, F.coalesce("_name", key)).drop("_name")
 
 
@@ -35,7 +36,7 @@ def resolve_rooms(slots: DataFrame, rooms: DataFrame, digits: int = SLOT_ID_DIGI
     streams = rooms.select(F.col("roomkey").alias("content"), F.col("flvurl").alias("_stream"))
     if dedup:
         streams = one_per_key(streams, "content")
-    joined = slots.join(streams, "content", "left")
+    joined = slots.join(sized(streams, fits_broadcast(streams)), "content", "left")
     found = {
         "url": F.coalesce("_stream", "content"),
         "content": F.coalesce("_stream", url_id(F.col("content"), digits)),

@@ -9,7 +9,8 @@ from placelens.functions import dates, text, urls
 from placelens.operators import attribution, enrichment, lookups, ranking, tokens, versions
 from placelens.plans import inputs
 from placelens.plans.attribution import PAGE_SOURCETYPES, VIDEO_SOURCETYPES, attribution_report, slot_table
-from placelens.session import shared_folder, written
+from placelens.plans.scoring import ScoreInputs, score_enrichment
+from placelens.session import shared_folder, single_machine, written
 from placelens.sinks import jdbc as jdbc_sink
 from placelens.sinks import tables as table_sink
 from placelens.sources import jdbc, logs, partitions, streams, synthetic, tsv
@@ -42,29 +43,38 @@ def _histories(spark, sf_dir):
     ]
 
 
-def _rooms(spark, sf_dir):
-    return logs.live_rooms(inputs.room_table(spark, sf_dir), appid="BUILDING")
+def _rooms(spark, sf_dir, day=None):
+    return logs.live_rooms(inputs.room_table(spark, sf_dir), day, appid="BUILDING")
+
+
+def _by_day(table, name):
+    """The table as it is kept: in one folder per `dt`."""
+    path = shared_folder(table.sparkSession, name)
+    table.hint("rebalance", F.col("dt")).write.partitionBy("dt").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def _slots(spark, sf_dir):
     return slot_table(_histories(spark, sf_dir), inputs.types(spark, sf_dir), _rooms(spark, sf_dir))
 
 
-def _clicks(spark, sf_dir):
-    return logs.click_log(inputs.click_table(spark, sf_dir), apptypeid="main", suptop="0001")
+def _clicks(spark, sf_dir, day=None, **options):
+    table = inputs.click_table(spark, sf_dir)
+    return logs.click_log(_by_day(table, "clicks") if day else table, day, apptypeid="main", suptop="0001", **options)
 
 
-def _views(spark, sf_dir):
-    return logs.view_log(inputs.view_table(spark, sf_dir), domain="main", newstag="0001")
+def _views(spark, sf_dir, day=None):
+    table = inputs.view_table(spark, sf_dir)
+    return logs.view_log(_by_day(table, "views") if day else table, day, domain="main", newstag="0001")
 
 
 def _report(spark, sf_dir, day=None):
     return attribution_report(
         _histories(spark, sf_dir),
         inputs.types(spark, sf_dir),
-        _rooms(spark, sf_dir),
-        _clicks(spark, sf_dir),
-        _views(spark, sf_dir),
+        _rooms(spark, sf_dir, day),
+        _clicks(spark, sf_dir, day),
+        _views(spark, sf_dir, day),
         day,
     )
 
@@ -159,6 +169,23 @@ def impression_scan_keyed(spark, sf_dir):
     return _views(spark, sf_dir)
 
 
+@query
+def log_scan_day(spark, sf_dir):
+    """One day of the click log, which is kept by day."""
+    return _clicks(spark, sf_dir, REPORT_DAY)
+
+
+@query
+def impression_scan_day(spark, sf_dir):
+    return _views(spark, sf_dir, REPORT_DAY)
+
+
+@query
+def log_scan_offset_key(spark, sf_dir):
+    """Clicks whose URLs without an id have the empty key."""
+    return _clicks(spark, sf_dir, key=urls.url_key_offset)
+
+
 @query
 def filter_sentinel(spark, sf_dir):
     raw = inputs.click_table(spark, sf_dir)
@@ -207,8 +234,9 @@ def pv_uv_slot_total(spark, sf_dir):
 
 
 def _keyed_catalogues(spark, sf_dir):
+    """Each catalogue is keyed once and kept as a table, as the pipeline does."""
     return [
-        catalogue.withColumn("urlid", urls.url_key_offset(F.col("url")))
+        written(catalogue.withColumn("urlid", urls.url_key_offset(F.col("url"))), "catalogue")
         for catalogue in inputs.catalogues(spark, sf_dir)
     ]
 
@@ -270,9 +298,31 @@ def replace_partition_sink(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path).select(*table_sink.RESULT_COLUMNS)
 
 
+@query
+def score_enrichment_run(spark, sf_dir):
+    """One hour from text tables to the result: days of three catalogues, scores, priority, and the hour replaced twice."""
+    day, hour = SCORE_RUN[:8], SCORE_RUN[8:]
+
+    def kept(lines, name):
+        root = shared_folder(spark, name)
+        lines.hint("rebalance", F.col("dt")).write.partitionBy("dt").text(root)
+        return root
+
+    roots = [kept(lines, "catalogue-text") for lines in inputs.catalogue_text(spark, sf_dir, day)]
+    texts = ScoreInputs(kept(inputs.score_text(spark, sf_dir), "score-text"), *roots)
+    rows = table_sink.result_rows(score_enrichment(spark, SCORE_RUN, texts))
+    path = shared_folder(spark, "result")
+    for _ in range(2):
+        table_sink.replace_one_part(rows, path, {"dt": day, "hour": hour})
+    return spark.read.schema(rows.schema).parquet(path).select(*table_sink.RESULT_COLUMNS)
+
+
 def _database(spark, name):
     """The database the session names, else one inside this process (single-machine sessions only)."""
-    return spark.conf.get(JDBC_URL_SETTING, None) or f"jdbc:derby:memory:{name};create=true"
+    named = spark.conf.get(JDBC_URL_SETTING, None)
+    if not named and not single_machine(spark):
+        raise ValueError(f"set {JDBC_URL_SETTING} to a database that all executors reach")
+    return named or f"jdbc:derby:memory:{name};create=true"
 
 
 def _nation_summary(spark, sf_dir):

@@ -1,21 +1,13 @@
 """The operators' inputs, derived by Spark from the whole test tables."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from placelens.functions.dates import epoch_seconds
 from placelens.session import pin_utc
 
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; its schema is read from the file footers once."""
-    path = f"{sf_dir}/{name}.parquet"
-    reader = pin_utc(spark).read
-    if path not in _schemas:
-        _schemas[path] = reader.parquet(path).schema
-    return reader.schema(_schemas[path]).parquet(path)
+    """A test table."""
+    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +84,7 @@ def room_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('room', c_custkey) as roomkey",
         "concat('http://live.example/', c_custkey, '.flv') as flvurl",
         "c_mktsegment as appid",
+        "if(c_custkey % 3 = 0, '20240114', '20240115') as dt",
     )
 
 
@@ -110,6 +103,26 @@ def catalogues(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
+def _lines(df: DataFrame, cells: dict[int, str], width: int, number: str, last_day: str) -> DataFrame:
+    """Lines of `width` columns, spread over the seven days up to `last_day`."""
+    row = ", ".join(cells.get(n, f"'f{n}'") for n in range(width))
+    day = f"date_format(date_sub(to_date('{last_day}', 'yyyyMMdd'), cast({number} % 7 as int)), 'yyyyMMdd')"
+    return df.selectExpr(f"concat_ws('\t', {row}) as value", f"{day} as dt")
+
+
+def catalogue_text(spark: SparkSession, sf_dir: str, last_day: str) -> list[DataFrame]:
+    """The catalogues as lines by day, each in its own layout."""
+    page = "concat('https://{site}.example/', {key}, '.html')"
+    crawler = {1: page.format(site="c", key="s_suppkey"), 2: "s_name", 9: "string(s_nationkey)"}
+    video = {23: page.format(site="v", key="c_custkey"), 12: "c_name", 7: "c_mktsegment"}
+    short = {6: page.format(site="s", key="o_custkey"), 4: "o_orderpriority", 9: "o_orderstatus"}
+    return [
+        _lines(table(spark, sf_dir, "supplier"), crawler, 10, "s_suppkey", last_day),
+        _lines(table(spark, sf_dir, "customer"), video, 24, "c_custkey", last_day),
+        _lines(table(spark, sf_dir, "orders"), short, 10, "o_orderkey", last_day),
+    ]
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         f"{DAY} as dt", "date_format(ts, 'HH') as hour", "string(event_id) as url", "value as rate"

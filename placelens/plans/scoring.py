@@ -23,7 +23,9 @@ class ScoreInputs:
     short_video: str
 
 
-def score_enrichment(spark: SparkSession, run: str, inputs: ScoreInputs, dedup: bool = False) -> DataFrame:
+def score_enrichment(
+    spark: SparkSession, run: str, inputs: ScoreInputs, dedup: bool = False, keep_empty: bool = False
+) -> DataFrame:
     """Scores of the hour `run` (yyyyMMddHH) with title, type and URL; crawler wins over video over short video.
 
     Each catalogue is parsed once and kept as a table, because picking the winners reads it twice.
@@ -35,4 +37,4 @@ def score_enrichment(spark: SparkSession, run: str, inputs: ScoreInputs, dedup:
         for root, layout in layouts
     ]
     scores = score_lines(one_hour(spark, inputs.scores, run), run)
-    return priority_enrich(scores, catalogues, dedup)
+    return priority_enrich(scores, catalogues, dedup, keep_empty)

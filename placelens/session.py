@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -28,10 +29,17 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Day tags and epoch seconds are defined in UTC, whatever zone the machine has."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
+def single_machine(spark: SparkSession) -> bool:
+    """Whether driver and tasks share one process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path that every executor can reach.
 
@@ -41,7 +49,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if context.master != "local" and not context.master.startswith("local["):
+        if not single_machine(spark):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = context.applicationId
         base = _local_folders.get(app) or tempfile.mkdtemp(prefix="placelens-")
@@ -57,5 +65,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark can reach it; one that is not there is no error."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete what `written` has left in the shared folder. Call it when a job's results are complete."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        delete_folder(spark, path)

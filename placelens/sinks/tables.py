@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placelens.session import delete_folder
+
 # The columns that identify a replaceable part, and the result columns in table order.
 PART_KEYS = ["dt", "hour"]
 RESULT_COLUMNS = ["dt", "hour", "urltype", "url", "title", "rate"]
@@ -31,9 +33,16 @@ def replace_parts(df: DataFrame, path: str, keys: list[str] = PART_KEYS) -> None
 
 
 def replace_one_part(df: DataFrame, path: str, part: dict[str, str]) -> None:
-    """Overwrite one known partition, also when the new rows are none."""
-    folder = "/".join([path, *(f"{key}={value}" for key, value in part.items())])
-    df.drop(*part).hint("rebalance").write.mode("overwrite").parquet(folder)
+    """Replace one known partition, also when the new rows are none.
+
+    The old rows stay until the new ones are written; a write that fails leaves them. Only if there are no new rows is the
+    partition deleted.
+    """
+    rows = df.withColumns({key: F.lit(value) for key, value in part.items()})
+    if rows.isEmpty():
+        delete_folder(df.sparkSession, "/".join([path, *(f"{key}={value}" for key, value in part.items())]))
+    else:
+        replace_parts(rows, path, list(part))
 
 
 def replace_in_table(df: DataFrame, table: str) -> None:

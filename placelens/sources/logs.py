@@ -1,6 +1,8 @@
 """Click and impression logs in the shape the attribution join expects."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placelens.functions.text import attributable, is_present
@@ -20,12 +22,15 @@ def one_day(table: DataFrame, day: str | None = None, **equals: str) -> DataFram
     return table
 
 
-def log_rows(log: DataFrame, columns: dict[str, str], partitions: int | None = None) -> DataFrame:
+def log_rows(
+    log: DataFrame, columns: dict[str, str], partitions: int | None = None, key: Callable[[Column], Column] = url_key
+) -> DataFrame:
     """Rename to `typename, idx, pagenum, content, visitor, dateline` and key the URL.
 
     Rows without visitor are dropped first, and rows without a place or URL, which match no slot. The
     place columns become text, whatever type the table gives them. `partitions` spreads the rows before
-    the URL patterns run, for unsplittable input.
+    the URL patterns run, for unsplittable input. `key` turns the URL into the content key: with `url_key_offset`
+    a URL without an id has the empty key instead of its own text.
     """
     kept = log.where(is_present(F.col(columns["visitor"])))
     for name in ("typename", "idx", "pagenum", "url"):
@@ -34,17 +39,23 @@ def log_rows(log: DataFrame, columns: dict[str, str], partitions: int | None = N
         kept = kept.repartition(partitions)
     return kept.select(
         *(F.col(columns[name]).cast("string").alias(name) for name in ("typename", "idx", "pagenum")),
-        url_key(F.col(columns["url"])).alias("content"),
+        key(F.col(columns["url"])).alias("content"),
         F.col(columns["visitor"]).alias("visitor"),
         F.col("dateline").cast("bigint").alias("dateline"),
     )
 
 
-def click_log(table: DataFrame, day: str | None = None, partitions: int | None = None, **equals: str) -> DataFrame:
+def click_log(
+    table: DataFrame,
+    day: str | None = None,
+    partitions: int | None = None,
+    key: Callable[[Column], Column] = url_key,
+    **equals: str,
+) -> DataFrame:
     """Clicks from a page slot to an article."""
     clicks = one_day(table, day, **equals)
     clicks = clicks.where(attributable(F.col(CLICK_COLUMNS["typename"]), F.col(CLICK_COLUMNS["url"])))
-    return log_rows(clicks, CLICK_COLUMNS, partitions)
+    return log_rows(clicks, CLICK_COLUMNS, partitions, key)
 
 
 def view_log(table: DataFrame, day: str | None = None, partitions: int | None = None, **equals: str) -> DataFrame:

@@ -12,7 +12,7 @@ def partitions(spark: SparkSession, root: str, tags: list[str]) -> DataFrame:
     """Lines of the folders `dt=<tag>` that exist, with their tag.
 
     The tags go into the path pattern, so only these folders are listed however many the table has.
-    No matching folder gives an empty result.
+    No matching folder gives an empty result; a root that does not exist is an error.
     """
     pattern = f"{root.rstrip('/')}/dt={{{','.join(tags)}}}"
     try:
@@ -20,6 +20,10 @@ def partitions(spark: SparkSession, root: str, tags: list[str]) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        context = spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(root)
+        if not place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place):
+            raise
         return spark.createDataFrame([], LINES)
 
 

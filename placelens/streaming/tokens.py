@@ -7,9 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from placelens.operators.tokens import token_count
 
-# The pace of the micro-batches and the pairs shown of each.
+# Fixed value: the pace of the micro-batches.
 TRIGGER = "3 seconds"
-SHOWN = 10
 
 
 def start(
@@ -30,10 +29,14 @@ def start(
     return writer.start()
 
 
-def show(counts: DataFrame, batch_id: int) -> None:
-    """Print a few pairs of the batch."""
-    print(f"batch {batch_id}")
-    counts.show(SHOWN, truncate=False)
+def show(rows: int) -> Callable[[DataFrame, int], None]:
+    """A sink that prints some pairs of every batch and keeps none."""
+
+    def print_some(counts: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        counts.show(rows, truncate=False)
+
+    return print_some
 
 
 def batch_files(path: str) -> Callable[[DataFrame, int], None]:

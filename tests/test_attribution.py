@@ -24,7 +24,7 @@ def log(spark, rows):
 def form(request, monkeypatch):
     """Run a test with slots that fit a broadcast and with slots that do not."""
     if request.param == "merge":
-        monkeypatch.setattr(attribution, "fits_broadcast", lambda *args, **kwargs: False)
+        monkeypatch.setattr(attribution, "measurable", lambda df: False)
     return request.param
 
 
@@ -119,3 +119,15 @@ def test_plans_have_no_nested_loops(spark, form):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert ("SortMergeJoin" in plan) == (form == "merge")
+
+
+def test_busy_keys_get_more_parts(spark):
+    """The number of parts follows from the versions of the busiest key, unless slots would repeat too often."""
+    short = spark.range(5000).selectExpr(
+        "if(id < 1000, 'hot', concat('k', id)) as content", "id * 100 as real_starttime", "id * 100 + 90 as real_endtime"
+    )
+    assert attribution._measured(short, ["content"], "real_starttime", "real_endtime", None, None)[2] == 32
+    busy = short.withColumn("content", F.lit("hot"))
+    assert attribution._measured(busy, ["content"], "real_starttime", "real_endtime", None, None)[2] == 128
+    lasting = busy.withColumn("real_endtime", F.lit(500_000).cast("bigint"))
+    assert attribution._measured(lasting, ["content"], "real_starttime", "real_endtime", None, None)[2] == 32

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placelens.operators import enrichment
 from placelens.operators.enrichment import priority_enrich
-from placelens.operators.joins import repeat_rows
+from placelens.operators.joins import fits_broadcast, repeat_rows
 from placelens.operators.lookups import lookup_fallback, resolve_rooms
 
 SCORES = "dt string, hour string, url string, rate double"
@@ -39,10 +39,20 @@ def test_priority(spark, form):
     short = catalogue(spark, "d", [("1", "d1"), ("2", "d2"), ("3", "d3")])
     result = priority_enrich(scores(spark, ["1", "2", "3", "4", "5", "", None]), [crawler, video, short])
     assert result.columns == ["dt", "hour", "title", "type1", "url", "rate"]
-    assert found(result) == Counter([
+    expected = Counter([
         (0.0, "c1", "c", "c/1"), (1.0, "b2", "b", "b/2"), (2.0, "d3", "d", "d/3"), (3.0, None, "c", "c/4"),
-        (4.0, None, None, "5"), (5.0, "c-empty", "c", "c/"), (6.0, None, None, None),
+        (4.0, None, None, "5"), (5.0, None, None, ""), (6.0, None, None, None),
     ])
+    assert found(result) == expected
+    result = priority_enrich(scores(spark, ["1", "2", "3", "4", "5", "", None]), [crawler, video, short], keep_empty=True)
+    assert found(result) == expected - Counter([(5.0, None, None, "")]) + Counter([(5.0, "c-empty", "c", "c/")])
+
+
+def test_rows_without_an_id_do_not_multiply(spark, form):
+    parts = [catalogue(spark, name, [("", f"{name}{n}") for n in range(rows)]) for name, rows in (("c", 20), ("b", 10), ("d", 5))]
+    one = scores(spark, [""])
+    assert priority_enrich(one, parts).count() == 1
+    assert priority_enrich(one, parts, keep_empty=True).count() == 20 * 10 * 5
 
 
 def test_repeated_ids_multiply(spark, form):
@@ -86,6 +96,22 @@ def test_copies_and_busy_ids(spark, form):
     assert ours.exceptAll(expected).count() == 0 and expected.exceptAll(ours).count() == 0
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookups_are_measured(spark):
+    """A database table has no size; counted, its few rows are broadcast. What can't be measured is not."""
+    url = "jdbc:derby:memory:lookups;create=true"
+    names = spark.createDataFrame([("a", "first")], "typeid string, typename string")
+    names.write.option("createTableColumnTypes", "typeid VARCHAR(9), typename VARCHAR(9)").jdbc(url, "names", mode="overwrite")
+    rows = spark.range(10).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("typeid"))
+    assert "BroadcastHashJoin" in plan(lookup_fallback(rows, spark.read.jdbc(url, "names"), "typeid", "typename"))
+    lists = spark.createDataFrame([("a", ["x"])], "typeid string, typename array<string>")
+    assert not fits_broadcast(lists)
+    assert fits_broadcast(names) and not fits_broadcast(names, limit=40)
+
+
 def test_lookup_fallback(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, typeid string")
     names = spark.createDataFrame([("a", "first"), ("a", "second"), ("c", "other")], "typeid string, typename string")

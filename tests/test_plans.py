@@ -1,6 +1,7 @@
 """Sessions, whole pipelines and the command lines."""
 
 import datetime as dt
+import os
 from collections import Counter
 
 import pytest
@@ -41,6 +42,21 @@ def test_no_machine_local_folder_on_a_cluster():
     assert "x-" in session.shared_folder(Session(), "x")
 
 
+def test_no_database_inside_the_driver_on_a_cluster():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        catalog._database(Session(), "x")
+
+
 def test_ranking(spark):
     rows = spark.createDataFrame([(n % 2, v) for n, v in enumerate([5, 1, 9, 9, 3, None])], "g int, v int")
     assert [row["v"] for row in top_m(rows, "v", 3).collect()] == [5, 9, 9]
@@ -62,7 +78,7 @@ def second(hour, minute=0):
     return int(at(hour, minute).replace(tzinfo=dt.timezone.utc).timestamp())
 
 
-def test_attribution_job(spark):
+def test_attribution_job(spark, tmp_path, capfd):
     """The whole report from a database and catalogue tables, through the command line's arguments."""
     url = "jdbc:derby:memory:report;create=true"
     article = "https://a.example/160120110929839111.html?from=x"
@@ -99,16 +115,34 @@ def test_attribution_job(spark):
     for name, (rows, schema) in tables.items():
         spark.createDataFrame(rows, schema).write.mode("overwrite").partitionBy("dt").saveAsTable(name)
 
-    args = attribution_job.parser().parse_args([
+    arguments = [
         "20240115120000", "--jdbc-url", url, "--page-history", "page_history", "--video-history", "video_history",
         "--types", "types", "--rooms", "rooms", "--clicks", "clicks", "--views", "views", "--database", "default",
         "--history-filter", "apptypeid=app", "--room-filter", "appid=tv", "--click-filter", "app=a", "--click-filter", "top=1",
-    ])
+    ]
+    args = attribution_job.parser().parse_args(arguments)
     report = attribution_job.report(spark, args)
-    found = Counter(
-        (r["typename"], r["content"], r["real_starttime"], r["real_endtime"], r["pv_active"], r["uv_active"], r["pv_show"], r["uv_show"])
-        for r in report.collect()
-    )
+
+    def rows_of(report):
+        return Counter(
+            (r["typename"], r["content"], r["real_starttime"], r["real_endtime"], r["pv_active"], r["uv_active"], r["pv_show"], r["uv_show"])
+            for r in report.collect()
+        )
+
+    found = rows_of(report)
+    parallel = [*arguments, "--partition-column", "id", "--partitions", "4"]
+    for _ in range(2):
+        given = attribution_job.parser().parse_args(parallel)
+        assert attribution_job.history_table(spark, given, "page_history").rdd.getNumPartitions() == 4
+        assert rows_of(attribution_job.report(spark, given)) == found
+    out = str(tmp_path / "report")
+    attribution_job.deliver(report, attribution_job.parser().parse_args([*arguments, "--output", out]))
+    assert rows_of(spark.read.parquet(out)) == found
+    attribution_job.deliver(report, attribution_job.parser().parse_args([*arguments, "--show", "2"]))
+    assert "only showing top 2 rows" in capfd.readouterr().out
+    session.remove_written(spark)
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert not [name for name in os.listdir(base) if name.startswith(("history-", "slots-"))]
     key = "160120110929839111"
     assert found == Counter([
         ("top", key, second(8), second(12), 2, 1, None, None),
@@ -174,4 +208,4 @@ def test_entry_runs(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).columns == REPORT_COLUMNS
-    assert set(__spark_entry__.oracle_sql()) == set(__spark_entry__.queries())
+    assert set(QUERIES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

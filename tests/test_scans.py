@@ -3,6 +3,7 @@
 import pytest
 
 from placelens.operators.attribution import interval_join
+from placelens.plans.catalog import QUERIES, REPORT_DAY
 from placelens.sources import logs
 
 
@@ -32,6 +33,13 @@ def test_log_scan_prunes_and_pushes(clicks, capsys):
     assert "Exchange" not in plan
 
 
+@pytest.mark.parametrize("name", ["log_scan_day", "impression_scan_day"])
+def test_registered_day_scans_prune(spark, name, capsys):
+    QUERIES[name](spark, "/root/testdata/sf0.001").explain("formatted")
+    plan = capsys.readouterr().out
+    assert f"{REPORT_DAY})]" in next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+
+
 def test_url_pattern_runs_once_per_row(spark, clicks):
     """The join must not test the URL key for NULL below the projection that computes it."""
     slots = spark.createDataFrame(

@@ -2,6 +2,8 @@
 
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from placelens.sinks import jdbc as jdbc_sink
 from placelens.sinks.tables import replace_in_table, replace_one_part, replace_parts, result_rows
@@ -52,6 +54,52 @@ def test_replace_in_database(spark):
         assert content(jdbc.scan(spark, url, "result")) == [("01", 7), ("02", 3)]
 
 
+def test_two_replacements_at_once_keep_both(spark, monkeypatch):
+    """Another run stages and replaces its hour between our staging and our transaction."""
+    url = "jdbc:derby:memory:interleaved;create=true"
+    both = rows(spark, "10", [1]).unionByName(rows(spark, "11", [2]))
+    both.write.option("createTableColumnTypes", TYPES).jdbc(url, "result", mode="overwrite")
+    plain = jdbc_sink.written
+
+    def other_run_first(df, name):
+        fixed = plain(df, name)
+        counted = fixed.count()
+
+        def count():
+            monkeypatch.setattr(jdbc_sink, "written", plain)
+            jdbc_sink.replace_part(rows(spark, "11", [20]), url, "result", {"dt": "20240115", "hour": "11"}, TYPES)
+            return counted
+
+        fixed.count = count
+        return fixed
+
+    monkeypatch.setattr(jdbc_sink, "written", other_run_first)
+    jdbc_sink.replace_part(rows(spark, "10", [10]), url, "result", {"dt": "20240115", "hour": "10"}, TYPES)
+    assert content(jdbc.scan(spark, url, "result")) == [("10", 10), ("11", 20)]
+    tables = jdbc.query(spark, url, "SELECT COUNT(*) AS n FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'").first()[0]
+    assert tables == 1  # staging tables are gone
+
+
+def test_rows_of_another_part_change_nothing(spark):
+    url = "jdbc:derby:memory:wrongpart;create=true"
+    rows(spark, "01", [1]).write.option("createTableColumnTypes", TYPES).jdbc(url, "result", mode="overwrite")
+    with pytest.raises(RuntimeError):
+        jdbc_sink.replace_part(rows(spark, "02", [2]), url, "result", {"dt": "20240115", "hour": "01"}, TYPES)
+    assert content(jdbc.scan(spark, url, "result")) == [("01", 1)]
+
+
+def test_a_failing_write_leaves_the_old_hour(spark, tmp_path):
+    path = str(tmp_path / "result")
+    replace_parts(rows(spark, "01", [1, 2]), path)
+    many = spark.range(0, 4000, 1, 4).select(
+        F.lit("20240115").alias("dt"), F.lit("01").alias("hour"), F.lit("k").alias("urltype"), F.lit("u").alias("url"),
+        F.lit("t").alias("title"), F.when(F.col("id") < 3999, F.col("id").cast("double")).otherwise(F.raise_error(F.lit("lost"))).alias("rate"),
+    )
+    with pytest.raises(PySparkException):
+        replace_one_part(many, path, {"dt": "20240115", "hour": "01"})
+    assert content(spark.read.schema(rows(spark, "01", []).schema).parquet(path)) == [("01", 1), ("01", 2)]
+
+
 def test_rows_staged_twice_change_nothing(spark, monkeypatch):
     """As after a task whose executor was lost between its commit and its report."""
     url = "jdbc:derby:memory:twice;create=true"

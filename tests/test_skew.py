@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from placelens.operators import attribution, enrichment
+from placelens.operators import attribution, enrichment, lookups
 from placelens.operators.attribution import SLOT_KEYS, interval_join, pv_uv, slot_traffic
 from placelens.operators.enrichment import priority_enrich
 from placelens.operators.lookups import lookup_fallback
@@ -26,7 +26,8 @@ def scaled_down(spark, monkeypatch):
     before = {name: spark.conf.get(name, None) for name in SMALL}
     for name, value in SMALL.items():
         spark.conf.set(name, value)
-    for module in (attribution, enrichment):
+    monkeypatch.setattr(attribution, "measurable", lambda df: False)
+    for module in (enrichment, lookups):
         monkeypatch.setattr(module, "fits_broadcast", lambda *args, **kwargs: False)
     yield
     for name, value in before.items():

@@ -2,6 +2,9 @@
 
 from collections import Counter
 
+import pytest
+
+from placelens.jobs import tokens as tokens_job
 from placelens.operators.tokens import token_count
 from placelens.sources.streams import file_messages
 from placelens.streaming import tokens
@@ -46,8 +49,20 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
 
 
 def test_show_prints_the_batch(spark, capfd):
-    tokens.show(token_count(spark.createDataFrame([("x",)], "value string")), 3)
-    assert "batch 3" in capfd.readouterr().out
+    tokens.show(1)(token_count(spark.createDataFrame([("x y",)], "value string")), 3)
+    out = capfd.readouterr().out
+    assert "batch 3" in out and "only showing top 1 row" in out
+
+
+def test_the_job_keeps_every_pair_unless_told_to_show(spark, tmp_path):
+    given = ["--servers", "h:1", "--topics", "t", "--checkpoint", "c"]
+    for bad in ([], ["--output", "o", "--show", "3"]):
+        with pytest.raises(SystemExit):
+            tokens_job.sink(tokens_job.parser().parse_args([*given, *bad]))
+    out = str(tmp_path / "out")
+    sink = tokens_job.sink(tokens_job.parser().parse_args([*given, "--output", out]))
+    sink(token_count(spark.createDataFrame([(" ".join(f"t{n}" for n in range(500)),)], "value string")), 0)
+    assert spark.read.parquet(out).count() == 500
 
 
 def test_timed_batches(spark, tmp_path):

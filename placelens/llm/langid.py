@@ -1,22 +1,21 @@
 """Language ID by rank-order profiles.
 
 A language's profile is the list of its `PROFILE` most frequent n-grams (1 to 3 characters of lower-cased words, with word ends
-marked) in order of frequency, counted over all training rows. A document's own most frequent n-grams are ranked the same way over its
+marked) in order of frequency (equally frequent ones by code point), counted over all training rows. A document's own most frequent n-grams are ranked the same way over its
 whole text; its distance to a language is the sum of how far out of place each of them is there, `PROFILE` for one that the profile
 lacks. The nearest language is predicted, with a score of 1 minus its distance over the largest possible distance.
 
-Counting is done per task first (words, then the n-grams of distinct words), then summed by (language, n-gram). Only profiles reach the
-driver: `PROFILE` rows for each of at most `LANGUAGES` languages, those with most training text.
+An n-gram is kept as one number of 21 bits for each character, so a document's n-grams are counted by sorting numbers. Counting is done
+per task first, then summed by (language, n-gram). Only profiles reach the driver: `PROFILE` rows for each of at most
+`LANGUAGES` languages, those with most training text.
 
 Defined results: `und` with score 0 for a text that is null or has no letter, and for every text if there is nothing to learn from;
 training rows with a null language or text are left out; equal distances go to the language that sorts first; repeated
 rows count as often as they come; an empty table gives no rows; other columns are not looked at, whatever their names.
 """
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -26,54 +25,85 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 PROFILE = 400
-ORDERS = (1, 2, 3)
 LANGUAGES = 1000
 UNKNOWN = "und"
-#: Entries a worker keeps at a time: while counting, and of words' n-grams. Words longer than LONG are not remembered.
-KEPT = 200_000
-LONG = 40
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Marks the ends of words. Bits of a character in an n-gram's number.
+END, WIDTH = ord("_"), 21
+#: Counted n-grams that a task holds before it sums them up, and summed ones before it hands them on.
+HELD = 2_000_000
 
 
-def _grams(word: str) -> list[str]:
-    marked = f"_{word}_"
-    return [marked[i : i + n] for n in ORDERS for i in range(len(marked) - n + 1) if n > 1 or marked[i] != "_"]
+@cache
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(code).isalpha() for code in range(0x110000)), bool, 0x110000)
 
 
-def _words(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of all words of a text, in ascending order, and how often each occurs."""
+    codes = np.frombuffer(f"_{(text or '').lower()}_".encode("utf-32-le", "surrogatepass"), "<u4")
+    letter = _letters()[codes]
+    marked = np.where(letter, codes, END).astype(np.int64)
+    one, two = marked[letter], (marked[:-1] << WIDTH | marked[1:])[letter[:-1] | letter[1:]]
+    three = (marked[:-2] << 2 * WIDTH | marked[1:-1] << WIDTH | marked[2:])[letter[1:-1]]
+    return _summed(np.concatenate([one, two, three]))
 
 
-def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, list[str]]:
+def _summed(numbers: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, ascending, and the sum of their counts (one each without `counts`)."""
+    if counts is None:
+        numbers = np.sort(numbers)
+        first = np.flatnonzero(np.diff(numbers, prepend=-1))
+        return numbers[first], np.diff(first, append=len(numbers))
+    order = np.argsort(numbers, kind="stable")
+    numbers, first = numbers[order], np.flatnonzero(np.diff(numbers[order], prepend=-1))
+    return numbers[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+
+
+def spelled(gram: int) -> str:
+    """An n-gram's characters."""
+    codes = [gram >> 2 * WIDTH, gram >> WIDTH & (1 << WIDTH) - 1, gram & (1 << WIDTH) - 1]
+    return "".join(chr(code) for code in codes if code)
+
+
+def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, list[int]]:
     """Language -> its n-grams, most frequent first. `docs`: the training rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
-
-        def flushed():
-            sums: dict[tuple[str, str], int] = Counter()
-            for lang, found in words.items():
-                for word, n in found.items():
-                    for gram in _grams(word):
-                        sums[lang, gram] += n
-            words.clear()
-            columns = [[lang for lang, _ in sums], [gram for _, gram in sums], list(sums.values())]
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def sum_up():
+            nonlocal size
+            for lang, parts in held.items():
+                held[lang] = [_summed(*map(np.concatenate, zip(*parts)))]
+            size = sum(len(parts[0][0]) for parts in held.values())
+
+        def handed_on():
+            sum_up()
+            langs = [lang for lang, parts in held.items() for _ in range(len(parts[0][0]))]
+            numbers, counts = (np.concatenate([np.empty(0, np.int64), *(parts[0][i] for parts in held.values())]) for i in (0, 1))
+            held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["lang", "gram", "n"]
+                [pa.array(langs, pa.string()), pa.array(numbers), pa.array(counts)], names=["lang", "gram", "n"]
             )
 
         for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-                words.setdefault(lang, Counter()).update(_words(text))
-                if sum(map(len, words.values())) > KEPT:
-                    yield flushed()
-        yield flushed()
+            for lang, text in zip(batch["lang"], batch["text"]):
+                found = grams(text.as_py())
+                held.setdefault(lang.as_py(), []).append(found)
+                size += len(found[0])
+                if size > HELD:
+                    sum_up()
+                    if size > HELD // 2:
+                        yield handed_on()
+                        size = 0
+        yield handed_on()
 
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).dropna()
-    counted = rows.mapInArrow(count, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counted.withColumn("place", place).where(F.col("place") <= PROFILE)
-    found: dict[str, list[tuple[int, str, int]]] = {}
+    found: dict[str, list[tuple[int, int, int]]] = {}
     for row in top.collect():  # PROFILE rows a language
         found.setdefault(row["lang"], []).append((row["place"], row["gram"], row["n"]))
     largest = sorted(found, key=lambda lang: (-sum(n for _, _, n in found[lang]), lang))[:LANGUAGES]
@@ -81,57 +111,26 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
 
 
 class RankOrder:
-    """Predicts with given profiles; remembers the n-grams of words, a bounded number of them."""
+    """Predicts with given profiles."""
 
-    def __init__(self, learned: dict[str, list[str]]):
+    def __init__(self, learned: dict[str, list[int]]):
         self.languages = list(learned)
-        self.known: dict[str, np.ndarray] = {}
-        for column, lang in enumerate(self.languages):
-            for place, gram in enumerate(learned[lang]):
-                self.known.setdefault(gram, np.full(len(self.languages), -1, np.int32))[column] = place
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words: dict[str, np.ndarray] = {}
-        self.numbers: dict[str, int] = {}
-        self.places = np.full((4096, len(self.languages)), -1, np.int32)
-        self.ties = np.zeros(4096, np.int64)
-
-    def _number(self, gram: str) -> int:
-        number = self.numbers.get(gram)
-        if number is None:
-            number = self.numbers[gram] = len(self.numbers)
-            if number == len(self.ties):
-                self.places = np.concatenate([self.places, np.full_like(self.places, -1)])
-                self.ties = np.concatenate([self.ties, np.zeros_like(self.ties)])
-            if gram in self.known:
-                self.places[number] = self.known[gram]
-            self.ties[number] = zlib.crc32(gram.encode())
-        return number
-
-    def _numbers(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            found = np.array([self._number(gram) for gram in _grams(word)], np.int64)
-            if len(word) <= LONG:
-                self.words[word] = found
-        return found
+        self.known = np.unique(np.array([gram for ranked in learned.values() for gram in ranked], np.int64))
+        self.places = np.full((len(self.known) + 1, len(self.languages)), -1)
+        for column, ranked in enumerate(learned.values()):
+            self.places[np.searchsorted(self.known, ranked), column] = np.arange(len(ranked))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(_words(text or ""))
-        if not self.languages or not any(map(str.isalpha, "".join(words))):
+        found, counts = grams(text)
+        if not len(found) or not len(self.languages):
             return UNKNOWN, 0.0
-        if len(self.words) > KEPT:
-            self._forget()
-        parts = [self._numbers(word) for word in words]
-        numbers = np.concatenate(parts)
-        counts = np.bincount(numbers, np.repeat(list(words.values()), [len(part) for part in parts]))
-        here = np.flatnonzero(counts)
-        if len(here) > PROFILE:
-            least = -np.partition(-counts[here], PROFILE - 1)[PROFILE - 1]
-            here = here[counts[here] >= least]
-        here = here[np.lexsort((here, self.ties[here], -counts[here]))][:PROFILE]
-        places = self.places[here]
+        if len(found) > PROFILE:
+            often = counts >= -np.partition(-counts, PROFILE - 1)[PROFILE - 1]
+            found, counts = found[often], counts[often]
+        here = found[np.argsort(-counts, kind="stable")][:PROFILE]
+        at = np.searchsorted(self.known, here)
+        known = self.known[np.minimum(at, len(self.known) - 1)] == here
+        places = self.places[np.where(known, at, len(self.known))]
         off = np.abs(places - np.arange(len(here))[:, None])
         distance = np.where(places < 0, PROFILE, off).sum(axis=0)
         best = int(distance.argmin())

@@ -1,6 +1,8 @@
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from placelens.llm import langid
 from placelens.llm.common import table
@@ -9,9 +11,30 @@ from placelens.llm.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.01"
 
 
+def _plain_grams(text):
+    """1 to 3 neighbours of every word with its ends marked."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split(" ")
+    marked = [f"_{word}_" for word in words if word]
+    return Counter(m[i : i + n] for m in marked for n in (1, 2, 3) for i in range(len(m) - n + 1) if m[i : i + n] != "_")
+
+
 def _plain_profile(texts):
-    counts = Counter(gram for text in texts for word in langid._words(text) for gram in langid._grams(word))
-    return [gram for gram, _ in sorted(counts.items(), key=lambda item: (-item[1], item[0]))[: langid.PROFILE]]
+    counts = sum((_plain_grams(text) for text in texts), Counter())
+    return [gram for gram, _ in sorted(counts.items(), key=lambda item: (-item[1], _number(item[0])))[: langid.PROFILE]]
+
+
+def _number(gram):
+    number = 0
+    for character in gram:
+        number = number << langid.WIDTH | ord(character)
+    return number
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abÄß中 1_.\n𐐀", max_size=30))
+def test_grams(text):
+    found = {langid.spelled(int(g)): int(n) for g, n in zip(*langid.grams(text))}
+    assert found == _plain_grams(text)
 
 
 def test_profiles_and_odd_rows(odd_docs, odd_rows, no_docs):
@@ -21,7 +44,8 @@ def test_profiles_and_odd_rows(odd_docs, odd_rows, no_docs):
         if text is not None and lang is not None:
             texts.setdefault(lang, []).append(text)
     expected = {lang: _plain_profile(some) for lang, some in texts.items()}
-    assert learned == {lang: grams for lang, grams in expected.items() if grams}
+    spelled = {lang: [langid.spelled(gram) for gram in ranked] for lang, ranked in learned.items()}
+    assert spelled == {lang: ranked for lang, ranked in expected.items() if ranked}
     found = langid.predict(odd_docs, learned, ["doc_id", "text"]).collect()
     assert len(found) == len(odd_rows)
     for row in found:
@@ -37,14 +61,16 @@ def test_profiles_and_odd_rows(odd_docs, odd_rows, no_docs):
 
 
 def test_distance_by_hand():
-    model = langid.RankOrder({"xx": ["a", "_a", "b"], "yy": ["b"]})
-    lang, score = model.predict("a")  # n-grams a, _a, a_, _a_ once each
+    profile = {"xx": ["a", "_a", "b"], "yy": ["b"]}
+    model = langid.RankOrder({lang: [_number(gram) for gram in ranked] for lang, ranked in profile.items()})
+    lang, score = model.predict("a a b")
     assert lang == "xx"
-    grams = sorted(["a", "_a", "a_", "_a_"], key=lambda g: model.ties[model.numbers[g]])
-    off = {"a": 0, "_a": 1}
-    distance = sum(abs(off[g] - place) if g in off else langid.PROFILE for place, g in enumerate(grams))
-    assert score == pytest.approx(1 - distance / (langid.PROFILE * 4))
-    assert langid.RankOrder({"b": ["q"], "a": ["q"]}).predict("zzz")[0] == "b"  # ties go to the first profile given
+    ranked = sorted(_plain_grams("a a b").items(), key=lambda item: (-item[1], _number(item[0])))
+    off = {"a": 0, "_a": 1, "b": 2}
+    distance = sum(abs(off[gram] - place) if gram in off else langid.PROFILE for place, (gram, _) in enumerate(ranked))
+    assert score == pytest.approx(1 - distance / (langid.PROFILE * len(ranked)))
+    same = [_number("q")]
+    assert langid.RankOrder({"a": same, "b": same}).predict("zzz")[0] == "a"  # ties go to the first profile
 
 
 def test_held_out_accuracy(spark):

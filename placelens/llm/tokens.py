@@ -11,7 +11,9 @@ import re
 import numpy as np
 
 #: Pieces of the newer and of the older generation that a worker remembers, each.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: Marks that are a token of their own behind a word of letters.
+MARKS = ".,;:!?"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -30,25 +32,41 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         if self.tokenizer.get_vocab_size() > 65_536:
             raise ValueError("ids must fit 16 bits")
+        self.marks = {mark: self._alone(mark) for mark in MARKS}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces as they stand after a space: all that are not loose in one go, told apart by the offsets of their tokens."""
-        if len(self.new) + len(pieces) > REMEMBERED:
+    def _learn(self, pieces: set[str], renew: bool = True) -> None:
+        """Remember the ids that pieces have after a space.
+
+        A word and one mark behind it are two tokens' worth of text, whatever the word, so only the word is encoded. All
+        that are not loose are encoded in one go and told apart by the offsets of their tokens.
+        """
+        if renew and len(self.new) + 2 * len(pieces) > REMEMBERED:
             self.old, self.new = self.new, {}
-        missing = []
+        new, old = self.new, self.old
+        missing, marked = [], []
         for piece in pieces:
-            ids = self.old.get(piece)
+            ids = old.get(piece)
             if ids is not None:
-                self.new[piece] = ids
+                new[piece] = ids
             elif _loose(piece):
-                self.new[piece] = self._alone(" " + piece)
+                new[piece] = self._alone(" " + piece)
+            elif piece[-1] in MARKS and piece[:-1].isalpha():
+                marked.append(piece)
             else:
                 missing.append(piece)
+        for piece in marked:
+            word = piece[:-1]
+            if word not in new:
+                if word in old:
+                    new[word] = old[word]
+                elif word not in pieces:
+                    missing.append(word)
+                    new[word] = b""  # until it is encoded below
         if missing:
             found = self.tokenizer.encode(" " + " ".join(missing), add_special_tokens=False)
             ids = np.array(found.ids, dtype="<u2")
@@ -56,23 +74,25 @@ class PieceEncoder:
             ends = np.cumsum(np.fromiter(map(len, missing), np.int64, len(missing)) + 1)
             bounds = [0, *np.searchsorted(begins, ends).tolist()]
             raw = ids.tobytes()
-            self.new.update((piece, raw[2 * i : 2 * j]) for piece, i, j in zip(missing, bounds, bounds[1:]))
+            new.update((piece, raw[2 * i : 2 * j]) for piece, i, j in zip(missing, bounds, bounds[1:]))
+        for piece in marked:
+            new[piece] = new[piece[:-1]] + self.marks[piece[-1]]
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         head, *rest = text.split(" ")
-        found = list(map(self.new.get, rest))
-        if None in found or head and head[-1].isspace():
-            unknown = {piece for piece, ids in zip(rest, found) if ids is None}
-            if head and head[-1].isspace() or any(map(_loose, unknown)):
-                head, *rest = _CUT.split(text)
-                found = list(map(self.new.get, rest))
-                unknown = {piece for piece, ids in zip(rest, found) if ids is None}
-            if unknown:
-                self._learn(list(unknown))
-                found = [self.new[piece] if ids is None else ids for piece, ids in zip(rest, found)]
-        return self._alone(head) + b"".join(found) if head else b"".join(found)
+        unknown = set(rest).difference(self.new)
+        if head and head[-1].isspace() or any(map(_loose, unknown)):
+            head, *rest = _CUT.split(text)
+            unknown = set(rest).difference(self.new)
+        if unknown:
+            before = self.new
+            self._learn(unknown)
+            if self.new is not before:  # a new generation began: the other pieces of this text are in the old one
+                self._learn(set(rest).difference(self.new), renew=False)
+        found = b"".join(map(self.new.__getitem__, rest))
+        return self._alone(head) + found if head else found
 
 
 _encoders: dict[str, PieceEncoder] = {}

@@ -33,6 +33,8 @@ DIMENSIONS = 3
 LEVELS = 16
 SEED = 5
 RANGE_ROWS = 100_000
+#: Rows a task holds as Python objects at a time.
+ROWS_AT_ONCE = 500
 
 
 def _hilbert(cells: np.ndarray, levels: int) -> np.ndarray:
@@ -74,6 +76,13 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((HASHED, DIMENSIONS))
 
 
+def _direction(raw: bytes) -> np.ndarray:
+    """The hashed token counts of a document as a vector of length one; the closing id keeps it from being zero."""
+    hashed = (np.frombuffer(raw, dtype="<u2").astype(np.uint32) * np.uint32(40503) >> np.uint32(7)) % HASHED
+    vector = np.sqrt(np.bincount(hashed, minlength=HASHED))
+    return vector / np.linalg.norm(vector)
+
+
 def _tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> DataFrame:
     """row, id, ids (two bytes each, closing id last), tokens, curve; stored."""
     kind = docs.schema[id_col].dataType
@@ -84,19 +93,14 @@ def _tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> D
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, axes = encoder(tokenizer).encode, _projection()
         closing = np.array([CLOSING], dtype="<u2").tobytes()
-        for batch in batches:
-            ids = [encode(text or "") + closing for text in batch["text"].to_pylist()]
-            vectors = np.empty((len(ids), HASHED))
-            for row, raw in enumerate(ids):
-                hashed = (np.frombuffer(raw, dtype="<u2").astype(np.uint32) * np.uint32(40503) >> np.uint32(7)) % HASHED
-                vectors[row] = np.bincount(hashed, minlength=HASHED)
-            vectors = np.sqrt(vectors)
-            vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)  # never zero: the closing id is there
-            spread = np.tanh(vectors @ axes)  # between -1 and 1 whatever the corpus
-            cells = np.minimum((spread + 1) / 2 * 2**LEVELS, 2**LEVELS - 1).astype(np.int64)
-            tokens = pa.array([len(raw) // 2 for raw in ids], pa.int64())
-            columns = [batch["id"], pa.array(ids, pa.binary()), tokens, pa.array(_hilbert(cells, LEVELS))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "tokens", "curve"])
+        for whole in batches:
+            for batch in (whole.slice(at, ROWS_AT_ONCE) for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
+                ids = [encode(text or "") + closing for text in batch["text"].to_pylist()]
+                spread = np.array([np.tanh(_direction(raw) @ axes) for raw in ids])  # -1 to 1 whatever the corpus
+                cells = np.minimum((spread + 1) / 2 * 2**LEVELS, 2**LEVELS - 1).astype(np.int64)
+                tokens = pa.array([len(raw) // 2 for raw in ids], pa.int64())
+                columns = [batch["id"], pa.array(ids, pa.binary()), tokens, pa.array(_hilbert(cells, LEVELS))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "tokens", "curve"])
 
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     done = pairs.mapInArrow(tokenize, schema)
@@ -135,25 +139,26 @@ def pack(
         schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, which, pieces = [], [], []
-            for number, (raw, place) in enumerate(zip(batch["ids"].to_pylist(), batch["place"].to_pylist())):
-                ids = np.frombuffer(raw, dtype="<u2")
-                wide = memoryview(ids.astype("<u4").tobytes())
-                at, total = 0, len(ids)
-                while at < total:
-                    sequence, offset = divmod(place + at, length)
-                    size = min(length - offset, total - at)
-                    out.append((at, size, zlib.crc32(wide[4 * at : 4 * (at + size)]), total, sequence, offset))
-                    which.append(number)
-                    if with_ids:
-                        pieces.append(ids[at : at + size].astype(np.int32))
-                    at += size
-            columns = [batch["id"].take(pa.array(which, pa.int64()))]
-            columns += [pa.array(column) for column in np.array(out, dtype=np.int64).reshape(-1, len(names)).T.copy()]
-            if with_ids:
-                columns.append(pa.array(pieces, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
+        for whole in batches:
+            for batch in (whole.slice(at, ROWS_AT_ONCE) for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
+                out, which, pieces = [], [], []
+                for number, (raw, place) in enumerate(zip(batch["ids"].to_pylist(), batch["place"].to_pylist())):
+                    ids = np.frombuffer(raw, dtype="<u2")
+                    wide = memoryview(ids.astype("<u4").tobytes())
+                    at, total = 0, len(ids)
+                    while at < total:
+                        sequence, offset = divmod(place + at, length)
+                        size = min(length - offset, total - at)
+                        out.append((at, size, zlib.crc32(wide[4 * at : 4 * (at + size)]), total, sequence, offset))
+                        which.append(number)
+                        if with_ids:
+                            pieces.append(ids[at : at + size].astype(np.int32))
+                        at += size
+                columns = [batch["id"].take(pa.array(which, pa.int64()))]
+                columns += [pa.array(column) for column in np.array(out, dtype=np.int64).reshape(-1, len(names)).T.copy()]
+                if with_ids:
+                    columns.append(pa.array(pieces, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     placed = measured_join(rows.select("row", "id", "ids"), found, "row")
     return placed.select("id", "ids", "place").mapInArrow(cut, schema)

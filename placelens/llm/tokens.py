@@ -11,7 +11,7 @@ import re
 import numpy as np
 
 #: Pieces of the newer and of the older generation that a worker remembers, each.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Marks that are a token of their own behind a word of letters.
 MARKS = ".,;:!?"
 _CUT = re.compile(r"(?<=\S) (?=\S)")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from placelens.operators.joins import fits_broadcast, sized
-from placelens.session import shared_folder
+from placelens.session import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -31,11 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder, compressed well, and read it back.
 
-    Cuts lineage: whatever reads the result survives lost executors without computing `df` again.
+    Cuts lineage: whatever reads the result survives lost executors without computing `df` again. `session.remove_written`
+    deletes the folder once the results are complete.
     """
-    path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, name, compression="zstd")
 
 
 def measured_join(rows: DataFrame, side: DataFrame, on, how: str = "inner") -> DataFrame:

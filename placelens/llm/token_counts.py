@@ -49,7 +49,7 @@ def signed(changes: DataFrame) -> DataFrame:
 
 def commit(changes: DataFrame, rollup: str, batch: str) -> None:
     """Commit a batch. Its folder is written anew as a whole, so a second delivery changes nothing."""
-    signed(changes).coalesce(1).write.mode("overwrite").parquet(f"{rollup}/batch={batch}")
+    signed(changes).write.mode("overwrite").parquet(f"{rollup}/batch={batch}")
 
 
 def deltas(spark: SparkSession, rollup: str) -> DataFrame:

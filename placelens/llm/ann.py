@@ -10,7 +10,7 @@ Every row is indexed. A shard's rows are sent once for each block of queries, a
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, neither as query nor as
 candidate, nor do rows with a null id; only vectors of equal length are compared; a row is no candidate for a query with its own id, so
-repeated rows never find each other; equal scores go to the smaller id, and a repeated id is returned once; an empty table gives no rows;
+repeated rows never find each other; a repeated id asks once, with its smallest vector; equal scores go to the smaller id, and a repeated id is returned once; an empty table gives no rows;
 other columns are not looked at, whatever their names.
 """
 
@@ -133,7 +133,8 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found for each row of which `is_query` (a condition on `id`) holds."""
     rows = stored(usable(table, id_col, vector_col), "vectors")
-    queries = rows.where(is_query).dropDuplicates(["id"])
+    asked_once = rows.where(is_query).groupBy("id").agg(F.min(F.struct("vector", "width")).alias("row"))
+    queries = asked_once.select("id", "row.vector", "row.width")
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     blocks = max(1, -(-queries.count() // BLOCK_ROWS))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id", "vector"), F.lit(shards)))

@@ -50,7 +50,9 @@ def groups(rows: DataFrame, best: list[str], salts: int = SALTS) -> DataFrame:
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
     rows = _digested(docs, id_col, text_col)
-    found = groups(rows, ["id"]).withColumnsRenamed({"digest": "_digest", "content": "_content"})
+    found = groups(rows, ["id"]).select(
+        F.col("digest").alias("_digest"), F.col("best.id").alias("keep_id"), "group_size", F.col("content").alias("_content")
+    )
     same = F.col("digest") == F.col("_digest")
     if found.where(F.col("_content").isNotNull()).isEmpty():
         rows, found = rows.drop("content"), found.drop("_content")
@@ -58,9 +60,9 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         same = same & F.coalesce(F.col("content") == F.col("_content"), F.lit(True))
     return measured_join(rows, found, same).select(
         "id",
-        F.col("best.id").alias("keep_id"),
+        "keep_id",
         "group_size",
-        F.col("id").eqNullSafe(F.col("best.id")).alias("kept"),
+        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
 

@@ -161,6 +161,11 @@ def _decided(rows: DataFrame, plan: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def _side(plan: DataFrame) -> DataFrame:
+    """The plan as a side to join, measured with its cuts as text: the rows of a busy source stay where they are."""
+    return sized(plan, fits_broadcast(plan.withColumn("cuts", F.to_json("cuts"))))
+
+
 def _next_cuts(rows: DataFrame, plan: DataFrame, limit: int, buckets: int) -> DataFrame:
     """The rows that get one copy more in this pass, as a cut for each source: key, room, last (turn, size)."""
     decided = _decided(rows, plan, limit)
@@ -201,7 +206,7 @@ def plan_copies(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: i
     plan = stored(tilts(counts, goals, limit).withColumn("cuts", no_cuts), "plan")
     buckets = bucket_count(rows.count())
     while True:  # every pass leaves less room; it ends when nothing fits any more, or little room is left
-        cuts = stored(_next_cuts(rows, sized(plan, fits_broadcast(plan)), limit, buckets), "cuts")
+        cuts = stored(_next_cuts(rows, _side(plan), limit, buckets), "cuts")
         if cuts.isEmpty():
             return plan
         added = F.array(F.struct("room", F.col("last.turn").alias("turn"), F.col("last.size").alias("size")))
@@ -215,7 +220,7 @@ def mix(
     """One row per document: id, size, source_size, target, rate, copies, taken (words the mix takes of it)."""
     rows = stored(sized_rows(docs, id_col, source_col, text_col, seed), "mix-rows")
     plan = plan_copies(rows, **goal)
-    decided = _decided(rows, sized(plan, fits_broadcast(plan)), goal.get("limit", LIMIT))
+    decided = _decided(rows, _side(plan), goal.get("limit", LIMIT))
     return decided.select(
         "id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
@@ -228,5 +233,5 @@ def mixed_rows(
     plan = plan_copies(stored(sized_rows(docs, id_col, source_col, text_col, seed), "mix-rows"), **goal)
     whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
     rows = sized_rows(whole, f"row.{id_col}", f"row.{source_col}", f"row.{text_col}", seed, "row")
-    decided = _decided(rows, sized(plan, fits_broadcast(plan)), goal.get("limit", LIMIT)).where("size > 0")
+    decided = _decided(rows, _side(plan), goal.get("limit", LIMIT)).where("size > 0")
     return decided.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -80,6 +80,12 @@ def _distance(points: np.ndarray, vantage: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (points @ vantage), 0))
 
 
+def _best_of_each(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """The largest score of every distinct id."""
+    order = np.argsort(ids, kind="stable")
+    return np.maximum.reduceat(scores[order], np.flatnonzero(np.diff(ids[order], prepend=ids[order[0]] - 1)))
+
+
 def _search(query_ids, queries, ids, vectors, k: int, factor: float) -> pd.DataFrame:
     """The k best of `ids` for each query: query, rank order, score. Scores are exact cosines of the original vectors."""
     lengths = np.linalg.norm(vectors, axis=1)
@@ -90,13 +96,16 @@ def _search(query_ids, queries, ids, vectors, k: int, factor: float) -> pd.DataF
 
     def visit(numbers, members):
         rough = query_unit[numbers] @ unit[members].T
+        distinct = len(np.unique(ids[members])) == len(members)
         for row, number in enumerate(numbers):
             scores, found = best[number]
             least = scores[k - 1] - SLACK if len(scores) >= k else -np.inf
             some = members[(rough[row] >= least) & (ids[members] != query_ids[number])]
             if len(some) > k:
                 own = rough[row][(rough[row] >= least) & (ids[members] != query_ids[number])]
-                some = some[own >= np.partition(own, -k)[-k] - SLACK]
+                each = own if distinct else _best_of_each(ids[some], own)
+                if len(each) > k:
+                    some = some[own >= np.partition(each, -k)[-k] - SLACK]
             if len(some):
                 exact = np.einsum("ij,j->i", vectors[some], queries[number]) / (lengths[some] * query_lengths[number])
                 scores, found = np.concatenate([scores, exact]), np.concatenate([found, ids[some]])

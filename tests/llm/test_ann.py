@@ -66,5 +66,20 @@ def test_recall_of_the_standard_factor(spark):
     assert recall >= 0.95
 
 
+@pytest.mark.parametrize("leaf", [256, 16])
+def test_factor_one_is_exact_with_copies(spark, monkeypatch, leaf):
+    """Every row six times."""
+    monkeypatch.setattr(ann, "LEAF", leaf)
+    random = np.random.default_rng(6)
+    vectors = {i: random.standard_normal(8) for i in range(40)}
+    rows = [(i, v.tolist()) for i, v in vectors.items() for _ in range(6)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {}
+    for row in ann.nearest(frame, F.col("id") % 4 == 0, factor=1.0).collect():
+        found.setdefault(row.query_id, []).append((row.rank, row.vec_id))
+    expected = _brute(list(vectors), vectors, [i for i in vectors if i % 4 == 0])
+    assert {q: [i for _, i in sorted(rows)] for q, rows in found.items()} == {q: [i for i, _ in rows] for q, rows in expected.items()}
+
+
 def test_empty(spark):
     assert ann.nearest(spark.createDataFrame([], SCHEMA), F.col("id") % 50 == 0).collect() == []

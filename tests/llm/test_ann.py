@@ -66,6 +66,26 @@ def test_recall_of_the_standard_factor(spark):
     assert recall >= 0.95
 
 
+@pytest.mark.parametrize("dimensions", [5, 8, 12, "clusters"])
+def test_recall_on_structured_vectors(dimensions):
+    """Vectors near few dimensions, where much is pruned, and near 40 centres."""
+    random = np.random.default_rng(3)
+    count = 16_000
+    if dimensions == "clusters":
+        many = random.standard_normal((40, 64))[random.integers(40, size=count)] + 0.3 * random.standard_normal((count, 64))
+    else:
+        many = random.standard_normal((count, dimensions)) @ random.standard_normal((dimensions, 64))
+        many += 0.05 * random.standard_normal((count, 64))
+    ids = np.arange(count)
+    asked = ids[::50]
+    found = ann._search(asked, many[asked], ids, many, 5, ann.FACTOR).groupby("query_id")["vec_id"].apply(set)
+    unit = many / np.linalg.norm(many, axis=1)[:, None]
+    scores = unit[asked] @ unit.T
+    scores[np.arange(len(asked)), asked] = -2
+    true = np.argsort(-scores, axis=1)[:, :5]
+    assert np.mean([len(found[q] & set(row)) / 5 for q, row in zip(asked, true)]) >= 0.95
+
+
 @pytest.mark.parametrize("leaf", [256, 16])
 def test_factor_one_is_exact_with_copies(spark, monkeypatch, leaf):
     """Every row six times."""

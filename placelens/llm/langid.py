@@ -137,20 +137,26 @@ class RankOrder:
         return self.languages[best], 1 - float(distance[best]) / (PROFILE * len(here))
 
 
-def predict(docs: DataFrame, learned: dict[str, list[str]], columns: list, text_col: str = "text") -> DataFrame:
-    """`columns` of `docs`, lang_pred, score. Profiles go to the tasks with the function: PROFILE n-grams a language."""
+def _guessed(docs: DataFrame, learned: dict[str, list[int]], columns: list, text_col: str) -> DataFrame:
+    """`columns` of `docs`, _guess (lang_pred, score, lettered). Profiles go to the tasks with the function: PROFILE n-grams a language."""
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, lettered boolean")
     def guess(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = RankOrder(learned)
         for batch in texts:
-            yield pd.DataFrame([model.predict(text) for text in batch], columns=["lang_pred", "score"])
+            found = [(*model.predict(text), any(map(str.isalpha, (text or "").lower()))) for text in batch]
+            yield pd.DataFrame(found, columns=["lang_pred", "score", "lettered"])
 
-    guessed = docs.select(*columns, guess(F.col(text_col)).alias("_guess"))
+    return docs.select(*columns, guess(F.col(text_col)).alias("_guess"))
+
+
+def predict(docs: DataFrame, learned: dict[str, list[int]], columns: list, text_col: str = "text") -> DataFrame:
+    """`columns` of `docs`, lang_pred, score."""
+    guessed = _guessed(docs, learned, columns, text_col)
     return guessed.select(*guessed.columns[:-1], "_guess.lang_pred", "_guess.score")
 
 
-def accepted(docs: DataFrame, learned: dict[str, list[str]], text_col: str = "text") -> DataFrame:
-    """The rows of `docs` with a predicted language; those without a letter go."""
+def accepted(docs: DataFrame, learned: dict[str, list[int]], text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with a letter, whatever is predicted for them: all of them stay if nothing was learned."""
     whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
-    return predict(whole, learned, ["row"], f"row.{text_col}").where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    return _guessed(whole, learned, ["row"], f"row.{text_col}").where("_guess.lettered").select("row.*")

@@ -19,6 +19,16 @@ def test_stages_on_odd_tables(spark, odd_docs, no_docs):
         corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
 
 
+def test_language_stage_keeps_all_texts_with_a_letter(spark, odd_docs, odd_rows):
+    """Also if there is nothing to learn from, or a language is called as the unknown one."""
+    expected = sorted(str(i) for i, text, *_ in odd_rows if any(map(str.isalpha, text or "")))
+    for lang in (None, "und"):
+        docs = odd_docs.withColumn("lang", F.lit(lang).cast("string"))
+        kept = corpus_pipeline.language_id(spark, docs, SF_DIR)
+        assert kept.columns == docs.columns
+        assert sorted(str(row.doc_id) for row in kept.collect()) == expected
+
+
 def test_whole_run(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     kept = {}

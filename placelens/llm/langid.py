@@ -6,8 +6,9 @@ whole text; its distance to a language is the sum of how far out of place each o
 lacks. The nearest language is predicted, with a score of 1 minus its distance over the largest possible distance.
 
 An n-gram is kept as one number of 21 bits for each character, so a document's n-grams are counted by sorting numbers. Counting is done
-per task first, then summed by (language, n-gram). Only profiles reach the driver: `PROFILE` rows for each of at most
-`LANGUAGES` languages, those with most training text.
+per task first, then summed by (language, n-gram). Only profiles reach the driver: `PROFILE` rows for each language, however many
+there are. All of them are predicted with; a worker holds a table of languages by distinct profile n-grams, at most `PROFILE` for each
+language, so it grows up to the square of their number, and the time of a document with their number.
 
 Defined results: `und` with score 0 for a text that is null or has no letter, and for every text if there is nothing to learn from;
 training rows with a null language or text are left out; equal distances go to the language that sorts first; repeated
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 PROFILE = 400
-LANGUAGES = 1000
 UNKNOWN = "und"
 #: Marks the ends of words. Bits of a character in an n-gram's number.
 END, WIDTH = ord("_"), 21
@@ -106,8 +106,7 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
     found: dict[str, list[tuple[int, int, int]]] = {}
     for row in top.collect():  # PROFILE rows a language
         found.setdefault(row["lang"], []).append((row["place"], row["gram"], row["n"]))
-    largest = sorted(found, key=lambda lang: (-sum(n for _, _, n in found[lang]), lang))[:LANGUAGES]
-    return {lang: [gram for _, gram, _ in sorted(found[lang])] for lang in sorted(largest)}
+    return {lang: [gram for _, gram, _ in sorted(found[lang])] for lang in sorted(found)}
 
 
 class RankOrder:

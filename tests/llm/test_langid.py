@@ -60,6 +60,14 @@ def test_profiles_and_odd_rows(odd_docs, odd_rows, no_docs):
     assert {row.lang_pred for row in langid.predict(odd_docs, {}, ["doc_id"]).collect()} == {"und"}
 
 
+def test_every_language_has_a_profile(spark):
+    docs = spark.createDataFrame([(f"l{i:04}", chr(0x4E00 + i) * 2) for i in range(1100)], "lang string, text string")
+    learned = langid.profiles(docs)
+    assert list(learned) == [f"l{i:04}" for i in range(1100)]
+    model = langid.RankOrder(learned)
+    assert all(model.predict(chr(0x4E00 + i) * 2)[0] == f"l{i:04}" for i in (0, 500, 1099))
+
+
 def test_distance_by_hand():
     profile = {"xx": ["a", "_a", "b"], "yy": ["b"]}
     model = langid.RankOrder({lang: [_number(gram) for gram in ranked] for lang, ranked in profile.items()})

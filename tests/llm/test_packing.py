@@ -12,26 +12,44 @@ from placelens.llm import packing, tokens
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 WHOLE = Tokenizer.from_file(FILE)
-WHOLE.encode_special_tokens = True
+PLAIN = Tokenizer.from_file(FILE)
+PLAIN.encode_special_tokens = True
 
 
 def _ids(text):
     return WHOLE.encode(text or "", add_special_tokens=False).ids + [0]
 
 
+SPECIAL = ["<|endoftext|> a <|endoftext|>", "a <|endoftext|> b", "don't  stop ", "a\n\n b", " lead", "x" * 20_000, " " * 3000, ""]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab1'.,!é \n\t\x1c\x85\u00a0\u200b\u3000中<|>", max_size=40))
-def test_pieces_give_the_tokenizers_ids(text):
-    encoder = tokens.encoder(FILE)
-    assert np.frombuffer(encoder.encode(text), "<u2").tolist() == _ids(text)[:-1]
+def test_ranks_give_the_tokenizers_ids(text):
+    assert tokens.encoder(FILE).ids(text).tolist() == _ids(text)[:-1]
+
+
+@pytest.mark.parametrize("text", SPECIAL)
+def test_special_cases(text):
+    assert tokens.encoder(FILE).ids(text).tolist() == _ids(text)[:-1]
+    assert tokens.encoder(FILE, plain=True).ids(text).tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+
+
+def test_every_entry_and_every_character():
+    """The rank encoder knows the same merges and the same classes of characters as the tokenizer itself."""
+    table, encode = tokens.byte_level(FILE), tokens.encoder(FILE).ids
+    whole = [entry.decode() for entry in table.values() if entry.decode(errors="replace").encode() == entry]
+    around = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 ,{chr(c)}." for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    for texts in (whole, around):
+        for text, found in zip(texts, WHOLE.encode_batch(texts, add_special_tokens=False)):
+            assert encode(text).tolist() == found.ids
 
 
-@pytest.mark.parametrize("text", ["<|endoftext|> a <|endoftext|>", "don't  stop ", "a\n\n b", " lead", "x" * 20_000])
-def test_special_cases(text, monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 2)
-    encoder = tokens.PieceEncoder(FILE)
-    for _ in range(3):
-        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == _ids(text)[:-1]
+def test_a_file_of_another_kind_keeps_its_library():
+    file = public_tokenizers.path("word_bpe_49k.json")
+    assert tokens.byte_level(file) is None
+    own = Tokenizer.from_file(file)
+    assert tokens.encoder(file).ids("Two  WORDS, three").tolist() == own.encode("Two  WORDS, three", add_special_tokens=False).ids
 
 
 def test_hilbert_curve_visits_neighbours():

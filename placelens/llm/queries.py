@@ -1,8 +1,10 @@
 """The registered queries of this subpackage: name -> (spark, sf_dir) -> DataFrame."""
 
+import zlib
+
 from pyspark.sql import functions as F
 
-from placelens.llm import ann, exact_dedup, langid, mixing, packing, sharding, simhash, token_counts, toxicity, url_rules
+from placelens.llm import ann, exact_dedup, langid, mixing, packing, periodic_runs, sharding, simhash, token_counts, toxicity, url_rules
 from placelens.llm.common import measured_join, plain_lower, stored, table
 from placelens.session import shared_folder
 
@@ -94,4 +96,40 @@ def op10_toxicity(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op7_token_counts, op8_language_id, op9_url_rules, op10_toxicity)}
+def run_report(found):
+    """Digests of the runs and collapsed texts that `periodic_runs` finds, and the run of the most periods."""
+
+    def periods(run, other):
+        more = run["length"] * other["period"] - other["length"] * run["period"]
+        later = F.when(run["start"] != other["start"], run["start"] - other["start"]).otherwise(run["period"] - other["period"])
+        return F.signum(F.when(more != 0, -more).otherwise(later)).cast("int")
+
+    line = lambda run: F.concat(run["start"].cast("string"), F.lit(","), run["length"].cast("string"), F.lit(","), run["period"].cast("string"), F.lit("\n"))
+    return found.withColumn("_best", F.get(F.array_sort("runs", periods), 0)).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("_best.start"),
+        F.col("_best.length"),
+        F.col("_best.period"),
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def with_tail_repeated(doc_id, words):
+    """The contract's rewriting: one document in ten repeats a part of itself from some word on."""
+    hashed = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or hashed % 10 or not words:
+        return words
+    count, draw = len(words), hashed // 10
+    begin = draw % count
+    period = 1 + (count - begin) // (3 + draw % 8)
+    return words[:begin] + [words[begin + at % period] for at in range(count - begin)]
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return run_report(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), reworded=with_tail_repeated))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op7_token_counts, op8_language_id, op9_url_rules, op10_toxicity, op12_periodic_runs)}

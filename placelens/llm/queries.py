@@ -4,7 +4,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from placelens.llm import ann, exact_dedup, langid, mixing, packing, periodic_runs, sharding, simhash, token_counts, toxicity, url_rules
+from placelens.llm import alignment, ann, exact_dedup, langid, mixing, packing, periodic_runs, sharding, simhash, token_counts, toxicity, url_rules
 from placelens.llm.common import measured_join, plain_lower, stored, table
 from placelens.session import shared_folder
 
@@ -132,4 +132,9 @@ def op12_periodic_runs(spark, sf_dir):
     return run_report(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), reworded=with_tail_repeated))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op7_token_counts, op8_language_id, op9_url_rules, op10_toxicity, op12_periodic_runs)}
+def op13_alignment(spark, sf_dir):
+    found = alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op7_token_counts, op8_language_id, op9_url_rules, op10_toxicity, op12_periodic_runs, op13_alignment)}

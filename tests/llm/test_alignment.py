@@ -3,7 +3,6 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
-import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,7 +76,7 @@ def _found(df, id_col="id"):
     return sorted((tuple(row) for row in df.select(id_col, *COLUMNS).collect()), key=str)
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=100, deadline=None)
 @given(st.text(alphabet="ab1'.,é \n▁中<|>🙂", max_size=40) | st.sampled_from(ODD))
 def test_links_of_one_text(text):
     found = Alignment(text, side(A_FILE), side(B_FILE))
@@ -87,8 +86,8 @@ def test_links_of_one_text(text):
     assert {(x, y): n for x, y, n in zip(*(p.tolist() for p in found.overlaps()))} == shared
     assert list(zip(*(p.tolist() for p in found.together()[:2]))) == [(x, y) for x, y in sorted(shared) if ar[x][1] == br[y][1]]
     cuts = sorted({e for _, e in ar} & {f for _, f in br})
-    group = lambda e: sum(cut < e for cut in cuts)
-    same = [(x, y) for x, (_, e) in enumerate(ar) for y, (_, f) in enumerate(br) if group(e) == group(f)]
+    one, other = ([sum(cut < end for cut in cuts) for _, end in ranges] for ranges in (ar, br))
+    same = [(x, y) for x, group in enumerate(one) for y in range(len(other)) if other[y] == group]
     assert list(zip(*(p.tolist() for p in found.sharing()[:2]))) == same
 
 
@@ -107,27 +106,31 @@ def test_product_of_any_matrices(rows, inner, columns, draw):
     assert list(zip(*product(csr(right.T).transposed().transposed(), csr(right)))) == [(x, y, n) for (x, y), n in np.ndenumerate(right.T @ right) if n]
 
 
-@pytest.mark.parametrize("limit", [None, 8])
-def test_odd_rows(spark, odd_docs, odd_rows, no_docs, monkeypatch, limit):
-    """Also with chunks of eight links, so that most texts are in several, and products of eight entries."""
-    rows = [(i, text if limit is None or len(text or "") < 9000 else text[:900]) for i, text, *_ in odd_rows]
-    rows += [(100 + n, text) for n, text in enumerate(ODD)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'x' AS id", "'y' AS row", "'z' AS pairs", "1 AS chunk")
-    if limit:
-        monkeypatch.setattr(alignment, "CHUNK", limit)
-        monkeypatch.setattr(alignment, "ENTRIES", limit)
-        short = alignment.aligned(docs.coalesce(2), A_FILE, B_FILE)
-    else:
-        short = alignment.aligned(docs, A_FILE, B_FILE)
-        assert alignment.aligned(no_docs, A_FILE, B_FILE).collect() == []
-        rows = [(i, text) for i, text in rows]
-    if limit is None:
-        rows = [(i, text) for i, text in rows if len(text or "") < 9000]
-        keep = {row.id for row in short.collect()}
-        assert keep == {i for i, *_ in odd_rows} | {100 + n for n in range(len(ODD))}
-        docs = docs.where("length(text) < 9000 OR text IS NULL")
-        short = alignment.aligned(docs, A_FILE, B_FILE)
-    assert _found(short) == _report(rows)
+def _odd_table(spark, odd_rows, longest):
+    rows = [(i, (text or "")[:longest] or text) for i, text, *_ in odd_rows] + [(100 + n, text) for n, text in enumerate(ODD)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return rows, docs.selectExpr("*", "'x' AS id", "'y' AS row", "'z' AS pairs", "1 AS chunk", "2 AS n_a")
+
+
+def test_odd_rows(spark, odd_rows, no_docs):
+    rows, docs = _odd_table(spark, odd_rows, 3000)
+    assert _found(alignment.aligned(docs, A_FILE, B_FILE)) == _report(rows)
+    assert alignment.aligned(no_docs, A_FILE, B_FILE).collect() == []
+
+
+def test_texts_in_several_chunks(spark, odd_rows, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK", 8)
+    monkeypatch.setattr(alignment, "ENTRIES", 8)
+    rows, docs = _odd_table(spark, odd_rows, 300)
+    assert _found(alignment.aligned(docs.coalesce(2), A_FILE, B_FILE)) == _report(rows)
+
+
+def test_long_texts(spark, odd_docs):
+    found = {row.id: row for row in alignment.aligned(odd_docs.where("doc_id IN (8, 9, 10)"), A_FILE, B_FILE).collect()}
+    for row in odd_docs.where("doc_id IN (8, 9, 10)").collect():
+        a, ar, b, br = _brute(row.text)
+        cuts = {e for _, e in ar} & {f for _, f in br}
+        assert (found[row.doc_id].n_a, found[row.doc_id].n_b, found[row.doc_id].n_groups) == (len(a), len(b), len(cuts))
 
 
 def test_pair_counts_beyond_broadcast(spark, monkeypatch):

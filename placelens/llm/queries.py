@@ -4,7 +4,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from placelens.llm import alignment, ann, exact_dedup, langid, mixing, packing, periodic_runs, sharding, simhash, token_counts, toxicity, url_rules
+from placelens.llm import alignment, ann, exact_dedup, langid, lattice, mixing, packing, periodic_runs, sharding, simhash, token_counts, toxicity, url_rules
 from placelens.llm.common import measured_join, plain_lower, stored, table
 from placelens.session import shared_folder
 
@@ -96,6 +96,10 @@ def op10_toxicity(spark, sf_dir):
     )
 
 
+def op11_embedding_dedup(spark, sf_dir):
+    return lattice.linked(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def run_report(found):
     """Digests of the runs and collapsed texts that `periodic_runs` finds, and the run of the most periods."""
 
@@ -137,4 +141,4 @@ def op13_alignment(spark, sf_dir):
     return found.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op7_token_counts, op8_language_id, op9_url_rules, op10_toxicity, op12_periodic_runs, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_sharding, op4_simhash, op5_mixing, op6_nearest, op7_token_counts, op8_language_id, op9_url_rules, op10_toxicity, op11_embedding_dedup, op12_periodic_runs, op13_alignment)}

@@ -1,0 +1,124 @@
+import itertools
+
+import numpy as np
+import pytest
+
+from placelens.llm import common, lattice, queries
+from placelens.llm.lattice import entries, linked, nearest_e8, roots
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+
+
+def _turned(rows, cosine, random):
+    """A vector at exactly that cosine (but for rounding) to each row of unit vectors."""
+    aside = random.standard_normal(rows.shape)
+    aside -= (aside * rows).sum(axis=1)[:, None] * rows
+    return cosine * rows + np.sqrt(1 - cosine**2) * aside / np.linalg.norm(aside, axis=1)[:, None]
+
+
+def _unit(count, size, random):
+    rows = random.standard_normal((count, size))
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+def _brute(rows, least=0.98):
+    """The contract by all pairs; rows: (vec_id, vector or None, label)."""
+    fine = [v is not None and len(v) and None not in v and np.isfinite(v).all() and any(v) and lab is not None for _, v, lab in rows]
+    near = [set() for _ in rows]
+    for i, j in itertools.combinations([n for n, ok in enumerate(fine) if ok], 2):
+        (_, v, one), (_, w, other) = rows[i], rows[j]
+        if one == other and len(v) == len(w):
+            v, w = (np.array(x, float) / np.abs(x).max() for x in (v, w))
+            if v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= least:
+                near[i].add(j)
+                near[j].add(i)
+    out = []
+    for start, (vec_id, *_) in enumerate(rows):
+        seen, todo = {start}, [start]
+        while todo:
+            more = near[todo.pop()] - seen
+            seen |= more
+            todo += more
+        component = min((rows[n][0] for n in seen if rows[n][0] is not None), default=None)
+        out.append((vec_id, len(near[start]), component, vec_id is not None and vec_id == component))
+    return sorted(out, key=str)
+
+
+def _found(df):
+    return sorted((tuple(row) for row in df.collect()), key=str)
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], lab) for i, v, lab in rows], SCHEMA)
+
+
+def test_nearest_point_of_the_lattice():
+    random = np.random.default_rng(1)
+    points = random.standard_normal((300, 8)) * 1.5
+    found = nearest_e8(points)
+    assert ((np.mod(2 * found, 2) == 0).all(axis=1) | (np.mod(2 * found, 2) == 1).all(axis=1)).all()
+    assert (np.mod(2 * found, 2) == np.mod(2 * found[:, :1], 2)).all() and (np.mod(found.sum(axis=1), 2) == 0).all()
+    away = ((points - found) ** 2).sum(axis=1)
+    assert len(roots()) == 240 and np.allclose((roots() ** 2).sum(axis=1), 2)
+    for root in roots():  # the neighbours at roots have all the borders of a cell
+        assert (away <= ((points - found - root) ** 2).sum(axis=1) + 1e-9).all()
+
+
+def test_recall_at_the_threshold():
+    random = np.random.default_rng(2)
+    rows = _unit(1500, 64, random)
+    one = entries(rows)
+    for cosine in (0.98001, 0.99, 0.999):
+        other = entries(_turned(rows, cosine, random))
+        assert np.mean([bool(np.intersect1d(a, b).size) for a, b in zip(one, other)]) > 0.99
+    assert np.mean([len(keys) for keys in one]) < 15
+
+
+@pytest.mark.parametrize("size", [1, 3, 8, 64])
+@pytest.mark.parametrize("small", [False, True])
+def test_clusters(spark, monkeypatch, size, small):
+    """Chains, tight clusters, copies and lone vectors; also with blocks of eight classes and without a broadcast."""
+    random = np.random.default_rng(size)
+    if small:
+        monkeypatch.setattr(lattice, "BLOCK", 8)
+        monkeypatch.setattr(lattice, "TASK_ROWS", 16)
+        monkeypatch.setattr(common, "fits_broadcast", lambda df: False)
+    base = _unit(12, size, random)
+    rows = [base[0] + random.standard_normal(size) * 0.01 for _ in range(40)]
+    rows += [base[1]] * 15 + [base[1] * 3.0] * 2
+    if size > 1:
+        chain = [base[2]]
+        for _ in range(12):
+            chain.append(_turned(chain[-1][None], 0.99, random)[0])
+        rows += chain
+    rows += list(base[3:])
+    random.shuffle(rows)
+    rows = [(1000 - 3 * n, row, n % 7 // 3) for n, row in enumerate(rows)]
+    assert _found(linked(_table(spark, rows))) == _brute(rows)
+
+
+def test_odd_rows(spark):
+    some, nan, inf = [0.5, -1.0, 2.0], float("nan"), float("inf")
+    rows = [
+        (1, some, 1), (1, some, 1), (2, some, 2), (3, some, None), (4, None, 1), (5, [], 1), (6, [0.0, 0.0, 0.0], 1), (7, [1.0, None, 2.0], 1),
+        (8, [1.0, nan, 2.0], 1), (9, [1.0, inf, 2.0], 1), (None, some, 1), (None, None, None), (None, some, 3), (None, some, 3), (10, [*some, 0.0], 1),
+        (11, [x * 1e-200 for x in some], 2), (12, [x * 1e200 for x in some], 2), (13, [-x for x in some], 2), (14, [0.5, -1.0, 2.0 + 1e-12], 2),
+    ]
+    docs = _table(spark, rows).selectExpr("*", "1 AS id", "2 AS node", "3 AS cells", "4 AS width", "5 AS digest")
+    assert _found(linked(docs)) == _brute(rows)
+    assert linked(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_many_near_copies_give_no_pairs(spark):
+    """A tight cluster of many different vectors: every task returns rows, not pairs."""
+    random = np.random.default_rng(5)
+    centre = _unit(1, 64, random)[0]
+    rows = [(n, (centre + random.standard_normal(64) * 0.002).tolist(), 1) for n in range(3000)]
+    found = linked(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.n_links, r.component_id) for r in found} == {(2999, 0)} and sum(r.kept for r in found) == 1
+
+
+def test_query_against_brute_force(spark):
+    found = queries.op11_embedding_dedup(spark, "/root/testdata/sf0.01")
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
+    assert _found(found) == _brute(rows)

@@ -13,6 +13,7 @@ from placelens.session import written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = "[^\\x20\\x09-\\x0D]+"
 BUCKET_ROWS = 20_000
+RANGE_ROWS = 100_000
 
 
 def importable(spark: SparkSession) -> None:
@@ -79,11 +80,6 @@ def one_row_each(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return once.unionByName(measured_join(hits, repeated, key, "left_semi").dropDuplicates([key]))
 
 
-def grid(hashed: Column, buckets: int) -> Column:
-    """The cell of a 64-bit hash on a grid of `buckets` equal cells; keeps the order of the hashes."""
-    return F.floor((F.shiftright(hashed, 32) + 2**31) * F.lit(buckets) / F.lit(2**32)).cast("bigint")
-
-
 def bucket_count(rows: int) -> int:
     return max(1, math.ceil(rows / BUCKET_ROWS))
 
@@ -93,6 +89,22 @@ def group_key(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
 
 
+def line_up(rows: DataFrame, order: list[str], weight: str, place: str) -> DataFrame:
+    """`rows` with `place`: the sum of `weight` over all rows before, in the order of the columns `order`, which must tell all rows apart.
+
+    A range sort, whose sums are added up by range first (one row for each) and then within each range. A range holds
+    about `RANGE_ROWS` rows whatever the values are, as long as few rows share them all.
+    """
+    ranges = max(1, -(-rows.count() // RANGE_ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = stored(rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    sums = ranged.groupBy("_range").agg(F.sum(weight).alias("_sum"))
+    starts = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = measured_join(ranged, starts, "_range")
+    return joined.withColumn(place, F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0))).drop("_range", "_start")
+
+
 def running_total(df: DataFrame, groups: list[str], bucket: str, order: list[Column], weight: str, total: str) -> DataFrame:
     """Add `total`: the sum of `weight` over the rows of the group before this one, in `bucket`, then `order`.
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placelens.llm.ann import scaled
 from placelens.llm.common import measured_join, stored
 from placelens.llm.components import components
 
@@ -102,12 +103,6 @@ def _cells(points: np.ndarray, reach: float) -> list[np.ndarray]:
     return [np.concatenate([keys[i : i + 1], more]).view(np.uint64) for i, more in enumerate(splits)]
 
 
-def scaled(vectors: np.ndarray) -> np.ndarray:
-    """Rows times a power of two, so that their squares neither vanish nor overflow; cosines are the same to the last bit."""
-    _, exponents = np.frexp(np.abs(vectors).max(axis=1))
-    return np.ldexp(vectors, -exponents[:, None])
-
-
 def entries(vectors: np.ndarray, lattices: int = LATTICES, tables: int = TABLES, width: float = WIDTH, reach: float = REACH) -> list[np.ndarray]:
     """The keys that each vector is entered under, all tables in one."""
     even = scaled(vectors)

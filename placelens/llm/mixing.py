@@ -11,10 +11,11 @@ source that come first by (hash - fractional part) get one copy more until the t
 passes fill what is left, down to `FILL` of the target, with smaller documents. Sums are over integers and decimals, so reruns agree exactly.
 
 A source is described by its tilt and its cuts alone, so copies are decided row by row without a join on documents.
-No task holds a source: sizes are counted before they are shuffled, and cuts are searched in buckets.
+No task holds a source: sizes are counted before they are shuffled, and cuts are searched in buckets. Documents that agree in id, text and
+source would all be first in line or last, so they are numbered, in chunks of a task's rows, and each draws for itself.
 
 Defined results: a null text has size 0 and takes nothing; a null source is a source of its own, the last; documents that
-agree in id, text and source are interchangeable; a table without words takes nothing; an empty table gives no rows;
+agree in id, text and source are interchangeable, and their number decides how many copies they get together; a table without words takes nothing; an empty table gives no rows;
 other columns are not looked at, whatever their names.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from placelens.llm.common import bucket_count, group_key, running_total, stored, word_count
+from placelens.llm.common import BUCKET_ROWS, bucket_count, group_key, measured_join, running_total, stored, word_count
 from placelens.operators.joins import fits_broadcast, sized
 
 WEIGHTS = (3, 1, 2)
@@ -134,17 +135,44 @@ def tilts(counts: DataFrame, goals: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def sized_rows(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: int, *more: str) -> DataFrame:
-    """Per row: id, key (of its source), size, and `draw`, a uniform number in [0, 1) that hangs on id and text."""
-    draw = F.shiftright(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 11) / F.lit(float(2**53)) + 0.5
+    """Per row: id, tag (the id as text), key (of its source), size, and `draw`, a uniform number in [0, 1) that hangs on id and text."""
     return docs.select(
         F.col(id_col).alias("id"),
+        group_key(F.col(id_col)).alias("tag"),
         group_key(F.col(source_col)).alias("key"),
         word_count(F.col(text_col)).alias("size"),
-        draw.alias("draw"),
+        _uniform(F.lit(seed), F.col(id_col), F.col(text_col)).alias("draw"),
         *more,
     )
 
 
+def _uniform(*columns: Column) -> Column:
+    return F.shiftright(F.xxhash64(*columns), 11) / F.lit(float(2**53)) + 0.5
+
+
+SAME = ["key", "size", "draw", "tag"]
+
+
+def repeats(rows: DataFrame) -> DataFrame:
+    """What repeated rows share, once each; stored. `rows` as of `sized_rows`."""
+    return stored(rows.groupBy(*SAME).count().where("count > 1").select(*SAME), "repeated")
+
+
+def numbered(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`rows` with a `draw` of its own for each of those that `repeats` found: the first keeps its draw, the others' hang on their number.
+
+    Only they are shuffled. A chunk is at most `BUCKET_ROWS` neighbouring rows of a task, so copies without number are many groups.
+    """
+    if repeated.isEmpty():
+        return rows
+    once = measured_join(rows, repeated, SAME, "left_anti")
+    again = measured_join(rows, repeated, SAME, "left_semi").withColumn("_at", F.monotonically_increasing_id())
+    chunks = stored(again, "repeated-rows").withColumn("_chunk", F.floor(F.col("_at") / BUCKET_ROWS)).withColumn("_one", F.lit(1).cast("bigint"))
+    counted = running_total(chunks, SAME, "_chunk", [F.col("_at")], "_one", "_number")
+    own = F.when(F.col("_number") == 0, F.col("draw")).otherwise(_uniform(F.col("draw"), F.col("_number")))
+    return once.unionByName(counted.withColumn("draw", own).select(rows.columns))
+
+
 def _decided(rows: DataFrame, plan: DataFrame, limit: int) -> DataFrame:
     """`rows` with what their source's plan decides for them.
 
@@ -219,6 +247,7 @@ def mix(
 ) -> DataFrame:
     """One row per document: id, size, source_size, target, rate, copies, taken (words the mix takes of it)."""
     rows = stored(sized_rows(docs, id_col, source_col, text_col, seed), "mix-rows")
+    rows = numbered(rows, repeats(rows))
     plan = plan_copies(rows, **goal)
     decided = _decided(rows, _side(plan), goal.get("limit", LIMIT))
     return decided.select(
@@ -230,8 +259,10 @@ def mixed_rows(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 11, **goal
 ) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it; rows without words stay out."""
-    plan = plan_copies(stored(sized_rows(docs, id_col, source_col, text_col, seed), "mix-rows"), **goal)
+    alone = stored(sized_rows(docs, id_col, source_col, text_col, seed), "mix-rows")
+    repeated = repeats(alone)
+    plan = plan_copies(numbered(alone, repeated), **goal)
     whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
-    rows = sized_rows(whole, f"row.{id_col}", f"row.{source_col}", f"row.{text_col}", seed, "row")
+    rows = numbered(sized_rows(whole, f"row.{id_col}", f"row.{source_col}", f"row.{text_col}", seed, "row"), repeated)
     decided = _decided(rows, _side(plan), goal.get("limit", LIMIT)).where("size > 0")
     return decided.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -21,9 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from placelens.llm.common import measured_join, stored
+from placelens.llm.common import line_up, measured_join, stored
 from placelens.llm.tokens import encoder
 
 LENGTH = 1024
@@ -32,7 +31,6 @@ HASHED = 512
 DIMENSIONS = 3
 LEVELS = 16
 SEED = 5
-RANGE_ROWS = 100_000
 #: Rows a task holds as Python objects at a time.
 ROWS_AT_ONCE = 500
 
@@ -107,22 +105,6 @@ def _tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str) -> D
     return stored(done.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
 
-def places(rows: DataFrame) -> DataFrame:
-    """(row, place): the tokens before each row when rows stand in order of (curve, row). `rows`: row, tokens, curve; stored."""
-    ranges = max(1, -(-rows.count() // RANGE_ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = stored(
-        rows.select("row", "tokens", "curve").repartitionByRange(ranges, "curve", "row").withColumn("range", F.spark_partition_id()),
-        "ranges",
-    )
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    sums = ranged.groupBy("range").agg(F.sum("tokens").alias("_sum"))
-    starts = sums.select("range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("range").orderBy("curve", "row").rowsBetween(Window.unboundedPreceding, -1)
-    return ranged.join(starts, "range").select(
-        "row", (F.col("_start") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))).alias("place")
-    )
-
-
 def pack(
     docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
@@ -131,7 +113,7 @@ def pack(
     Tokens stand in sequence `sequence_id` at `offset`; every sequence but the last has exactly `length` of them.
     """
     rows = _tokenized(docs, id_col, text_col, tokenizer)
-    found = stored(places(rows), "places")
+    found = stored(line_up(rows.select("row", "tokens", "curve"), ["curve", "row"], "tokens", "place").select("row", "place"), "places")
     kind = docs.schema[id_col].dataType
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = T.StructType([T.StructField("id", kind), *(T.StructField(name, T.LongType()) for name in names)])

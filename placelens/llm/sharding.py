@@ -4,8 +4,8 @@ Rows of each stratum are put in a seeded random order; a row's fractional rank i
 Sorted by fractional rank, every stretch of the whole table holds each stratum in proportion, so equal cuts of it
 are shards with the mixture of the whole. Row counts of shards differ by one at most (law `rows`).
 
-No stratum is held by one task: ranks come from bucket counts first (see `common.running_total`). Texts never leave
-the scan; what is shuffled is id, size and checksum.
+No stratum is held by one task: rows stand in two range sorts, by (stratum, seeded order) for their ranks and by (fractional rank, stratum) for
+their places, neither of which two rows share; see `common.line_up`. Texts never leave the scan; what is shuffled is id, size and checksum.
 
 Defined results: a null text has no bytes; a null stratum is a stratum of its own, the last; rows that agree in id and
 text are interchangeable; an empty table gives no rows; other columns are not looked at, whatever their names.
@@ -14,7 +14,7 @@ text are interchangeable; an empty table gives no rows; other columns are not lo
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placelens.llm.common import bucket_count, grid, group_key, measured_join, running_total, stored
+from placelens.llm.common import group_key, line_up, measured_join, stored
 
 
 def interleave(
@@ -28,21 +28,18 @@ def interleave(
             F.col(stratum_col).cast("string").alias("stratum"),
             (F.octet_length(text) + 1).cast("bigint").alias("size"),
             F.crc32(text).alias("text_crc32"),
-        ).withColumn("mixed", F.xxhash64(F.lit(seed), "id", "text_crc32", "size")),
+        ).withColumns({"mixed": F.xxhash64(F.lit(seed), "id", "text_crc32", "size"), "row": F.monotonically_increasing_id()}),
         "shard-rows",
     )
     total = rows.count()
-    buckets = bucket_count(total)
-    tie = [F.col("mixed"), F.col("id"), F.col("text_crc32"), F.col("size")]
-    cells = rows.withColumns(
-        {"key": group_key(F.col("stratum")), "bucket": grid(F.col("mixed"), buckets), "one": F.lit(1).cast("bigint")}
-    )
-    ranked = running_total(cells, ["key"], "bucket", tie, "one", "rank")
-    sizes = cells.groupBy("key").agg(F.count("*").alias("n"))
-    placed = measured_join(ranked, sizes, "key").withColumn("fraction", (F.col("rank") + 0.5) / F.col("n"))
-    placed = placed.withColumn("bucket", F.floor(F.col("fraction") * buckets)).drop("rank", "n")
-    order = [F.col("fraction"), F.col("stratum").asc_nulls_last(), *tie]
-    lined = running_total(placed, [], "bucket", order, "one", "place")
+    # Null is the last stratum. Rows that agree in everything are told apart by where they stand.
+    order = ["unnamed", "stratum", "mixed", "id", "text_crc32", "size", "row"]
+    cells = rows.withColumns({"key": group_key(F.col("stratum")), "unnamed": F.col("stratum").isNull(), "one": F.lit(1).cast("bigint")})
+    ranked = stored(line_up(cells, order, "one", "rank"), "ranked")
+    strata = ranked.groupBy("key").agg(F.count("*").alias("n"), F.min("rank").alias("first"))
+    fraction = (F.col("rank") - F.col("first") + 0.5) / F.col("n")
+    placed = measured_join(ranked, strata, "key").withColumn("fraction", fraction).drop("rank", "n", "first", "row")
+    lined = line_up(placed, ["fraction", "unnamed", "stratum"], "one", "place")
     shard = F.floor(F.col("place") * shards / F.lit(max(total, 1)))
     start = -F.floor(-F.col("shard") * F.lit(total) / F.lit(shards))
     return lined.withColumn("shard", shard.cast("int")).select(

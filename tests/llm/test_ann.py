@@ -101,5 +101,76 @@ def test_factor_one_is_exact_with_copies(spark, monkeypatch, leaf):
     assert {q: [i for _, i in sorted(rows)] for q, rows in found.items()} == {q: [i for i, _ in rows] for q, rows in expected.items()}
 
 
+def _frame(spark, vectors):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors], "vec_id bigint, embedding array<double>")
+
+
+def _rows(found):
+    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect())
+
+
+def test_tiny_and_huge_vectors(spark):
+    """Squares that vanish or overflow: scores are those of the vectors in a size that fits."""
+    random = np.random.default_rng(4)
+    base = random.standard_normal((12, 4))
+    factors = [1e-200, 1.0, 1e200, 1e-300, 1e300]
+    plain = _rows(ann.nearest(_frame(spark, enumerate(base)), F.col("id") % 3 == 0))
+    found = _rows(ann.nearest(_frame(spark, ((i, v * factors[i % 5]) for i, v in enumerate(base))), F.col("id") % 3 == 0))
+    assert [row[:3] for row in found] == [row[:3] for row in plain]
+    assert [row[3] for row in found] == pytest.approx([row[3] for row in plain], abs=1e-12)
+
+
+def test_results_do_not_hang_on_the_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 200)
+    monkeypatch.setattr(ann, "LEAF", 16)
+    random = np.random.default_rng(9)
+    vectors = list(enumerate(random.standard_normal((900, 5)) @ random.standard_normal((5, 12))))
+    vectors += [(7, v) for _, v in vectors[20:30]] + vectors[:50]
+    one = _rows(ann.nearest(_frame(spark, vectors), F.col("id") % 20 == 0))
+    random.shuffle(vectors)
+    assert _rows(ann.nearest(_frame(spark, vectors).repartition(5), F.col("id") % 20 == 0)) == one
+
+
+def test_factor_one_is_exact_over_many_leaves(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 60)
+    monkeypatch.setattr(ann, "LEAF", 8)
+    random = np.random.default_rng(12)
+    vectors = dict(enumerate(random.standard_normal((1200, 3)) @ random.standard_normal((3, 8)) + 0.01 * random.standard_normal((1200, 8))))
+    found = {}
+    for query, rank, vec_id, _ in _rows(ann.nearest(_frame(spark, vectors.items()), F.col("id") % 30 == 0, factor=1.0)):
+        found.setdefault(query, []).append(vec_id)
+    expected = _brute(list(vectors), vectors, [i for i in vectors if i % 30 == 0])
+    assert found == {q: [i for i, _ in rows] for q, rows in expected.items()}
+
+
+@pytest.mark.parametrize("dimensions", [3, 5, 8])
+def test_leaves_a_query_reaches_and_recall(spark, monkeypatch, dimensions):
+    """Near few dimensions: recall holds over the leaves, and the rows in the leaves a query reaches hardly grow with the table."""
+    random = np.random.default_rng(dimensions)
+    axes, seen = random.standard_normal((dimensions, 32)), []
+    monkeypatch.setattr(ann, "SHARD_ROWS", 125)
+    for count in (4000, 16_000):
+        many = random.standard_normal((count, dimensions)) @ axes
+        unit = many / np.linalg.norm(many, axis=1)[:, None]
+        asked = np.arange(0, count, 200)
+        scores = unit[asked] @ unit.T
+        scores[np.arange(len(asked)), asked] = -2
+        true = np.argsort(-scores, axis=1)[:, :5]
+        routes = ann.Routes(many[:: max(1, count // ann.SAMPLE)].tolist(), count // 125)
+        leaf = routes.leaf(many)
+        sizes = np.bincount(leaf)
+        bounds = np.array([np.sqrt(max(0, 2 - 2 * np.sort(scores[n][leaf == leaf[q]])[-5:][0])) for n, q in enumerate(asked)])
+        number, reached = routes.reached(many[asked], bounds, ann.FACTOR)
+        sees = [set(reached[number == n]) | {leaf[q]} for n, q in enumerate(asked)]
+        assert np.mean([np.mean([leaf[i] in sees[n] for i in row]) for n, row in enumerate(true)]) >= 0.9
+        seen.append(np.mean([sum(sizes[one] for one in some) for some in sees]))
+    assert seen[1] < 2 * seen[0]  # four times the rows
+    if dimensions == 5:
+        found = {}
+        for query, _, vec_id, _ in _rows(ann.nearest(_frame(spark, enumerate(many)), F.col("id") % 200 == 0)):
+            found.setdefault(query, set()).add(vec_id)
+        assert np.mean([len(found[q] & set(row)) / 5 for q, row in zip(asked, true.tolist())]) >= 0.9
+
+
 def test_empty(spark):
     assert ann.nearest(spark.createDataFrame([], SCHEMA), F.col("id") % 50 == 0).collect() == []

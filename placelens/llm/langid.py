@@ -7,8 +7,11 @@ lacks. The nearest language is predicted, with a score of 1 minus its distance o
 
 An n-gram is kept as one number of 21 bits for each character, so a document's n-grams are counted by sorting numbers. Counting is done
 per task first, then summed by (language, n-gram). Only profiles reach the driver: `PROFILE` rows for each language, however many
-there are. All of them are predicted with; a worker holds a table of languages by distinct profile n-grams, at most `PROFILE` for each
-language, so it grows up to the square of their number, and the time of a document with their number.
+there are. All of them are predicted with: a worker holds an index from each profile n-gram to the languages that rank it, `PROFILE` entries for each
+language, and a document adds up what its n-grams save each language against lacking them.
+
+A filter can go by the prediction (`accepted`): documents whose score is below `RESEMBLES` look like no language there is a profile of, and with `keep` only
+documents predicted to be of those languages stay.
 
 Defined results: `und` with score 0 for a text that is null or has no letter, and for every text if there is nothing to learn from;
 training rows with a null language or text are left out; equal distances go to the language that sorts first; repeated
@@ -27,6 +30,8 @@ from pyspark.sql.window import Window
 
 PROFILE = 400
 UNKNOWN = "und"
+#: Least score of a document that resembles a learned language.
+RESEMBLES = 0.1
 #: Marks the ends of words. Bits of a character in an n-gram's number.
 END, WIDTH = ord("_"), 21
 #: Counted n-grams that a task holds before it sums them up, and summed ones before it hands them on.
@@ -114,10 +119,13 @@ class RankOrder:
 
     def __init__(self, learned: dict[str, list[int]]):
         self.languages = list(learned)
-        self.known = np.unique(np.array([gram for ranked in learned.values() for gram in ranked], np.int64))
-        self.places = np.full((len(self.known) + 1, len(self.languages)), -1)
-        for column, ranked in enumerate(learned.values()):
-            self.places[np.searchsorted(self.known, ranked), column] = np.arange(len(ranked))
+        sizes = [len(ranked) for ranked in learned.values()]
+        ranked = np.fromiter((gram for grams_ in learned.values() for gram in grams_), np.int64, sum(sizes))
+        order = np.argsort(ranked, kind="stable")
+        self.known, starts = np.unique(ranked[order], return_index=True)
+        self.starts = np.append(starts, len(ranked))
+        self.speakers = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+        self.places = np.concatenate([np.empty(0, np.int32), *(np.arange(size, dtype=np.int32) for size in sizes)])[order]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found, counts = grams(text)
@@ -127,13 +135,15 @@ class RankOrder:
             often = counts >= -np.partition(-counts, PROFILE - 1)[PROFILE - 1]
             found, counts = found[often], counts[often]
         here = found[np.argsort(-counts, kind="stable")][:PROFILE]
-        at = np.searchsorted(self.known, here)
-        known = self.known[np.minimum(at, len(self.known) - 1)] == here
-        places = self.places[np.where(known, at, len(self.known))]
-        off = np.abs(places - np.arange(len(here))[:, None])
-        distance = np.where(places < 0, PROFILE, off).sum(axis=0)
-        best = int(distance.argmin())
-        return self.languages[best], 1 - float(distance[best]) / (PROFILE * len(here))
+        at = np.minimum(np.searchsorted(self.known, here), len(self.known) - 1)
+        ranks = np.flatnonzero(self.known[at] == here)
+        begins = self.starts[at[ranks]]
+        sizes = self.starts[at[ranks] + 1] - begins
+        entries = np.arange(sizes.sum()) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes)
+        saved = PROFILE - np.abs(self.places[entries] - np.repeat(ranks, sizes))
+        by_language = np.bincount(self.speakers[entries], saved, len(self.languages))
+        best = int(by_language.argmax())
+        return self.languages[best], float(by_language[best]) / (PROFILE * len(here))
 
 
 def _guessed(docs: DataFrame, learned: dict[str, list[int]], columns: list, text_col: str) -> DataFrame:
@@ -155,7 +165,16 @@ def predict(docs: DataFrame, learned: dict[str, list[int]], columns: list, text_
     return guessed.select(*guessed.columns[:-1], "_guess.lang_pred", "_guess.score")
 
 
-def accepted(docs: DataFrame, learned: dict[str, list[int]], text_col: str = "text") -> DataFrame:
-    """The rows of `docs` with a letter, whatever is predicted for them: all of them stay if nothing was learned."""
+def accepted(
+    docs: DataFrame, learned: dict[str, list[int]], keep: set[str] | None = None, least: float = RESEMBLES, text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs` with a letter whose prediction scores at least `least` and is in `keep` (any language without it).
+
+    If nothing was learned, no prediction can tell, and all rows with a letter stay.
+    """
     whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"))
-    return _guessed(whole, learned, ["row"], f"row.{text_col}").where("_guess.lettered").select("row.*")
+    told = F.col("_guess.score") >= least
+    if keep is not None:
+        told = told & F.col("_guess.lang_pred").isin(sorted(keep))
+    fits = F.col("_guess.lettered") & told if learned else F.col("_guess.lettered")
+    return _guessed(whole, learned, ["row"], f"row.{text_col}").where(fits).select("row.*")

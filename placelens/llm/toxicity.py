@@ -5,14 +5,16 @@
 2. Words of training documents become labelled tokens: toxic if the document is and the word has evidence. The evidence used here
    comes from the other half of the training documents (halves by the longest word, so that exact and near copies mostly stay
    together); words that are toxic by chance only are therefore seen in clean documents too.
-3. A chain with two states is fitted to a bounded sample of stretches of such tokens (`CHAINS` stretches of `STRETCH` words).
-   Its features say which evidence classes a word and its two neighbours reach; weights of the word itself are not negative, so
+3. A chain with two states is fitted to a bounded sample of stretches of such tokens (`CHAINS` kinds of stretches of `STRETCH` words): a kind's
+   chance to be in it grows with how often it comes, the commonest are in it for certain, and each has the weight that makes the sample
+   as much as all of them (priority sampling). With fewer kinds all are in it. Its features say which evidence classes a word and its two neighbours reach; weights of the word itself are not negative, so
    more evidence never counts for less.
 4. Every document's whole text is one chain. Forward-backward gives each word's marginal probability; the largest is the
    document's score, and words of at least `TOXIC` join to spans with offsets.
 
-Counting is done per task first, then summed by word, so a word of every document is no single task's work. To the driver come the
-at most `LEXICON` strongest words and the sample.
+Counting is done per task first, then summed by word, so a word of every document is no single task's work. Every word of enough evidence
+counts: they go to the tasks as a whole where they measure at most `LEXICON_BYTES`, else each document gets the classes of its own
+words by a join. To the driver come such a small lexicon and the sample.
 
 Defined results: null and empty texts, and texts without a word, score 0 and have no span; a document with several labels is
 toxic if one of them says so; null labels are left out; without a toxic and a clean training document every score is 0; repeated
@@ -23,15 +25,19 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placelens.llm.common import measured_join, stored
+from placelens.operators.joins import fits_broadcast
 
 BEGINNINGS = (4, 5, 6)
-LEXICON = 50_000
+LEXICON_BYTES = 32 * 1024 * 1024
+#: Training rows of a task.
+TASK_ROWS = 4_096
 CHAINS = 20_000
 STRETCH = 64
 TOXIC = 0.5
@@ -91,11 +97,31 @@ def _evidence(toxic: Column, clean: Column, all_toxic: int, all_clean: int) -> C
     return odds - DEVIATIONS * F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
 
 
-def _lexicon(counts: DataFrame, totals: tuple[int, int]) -> dict[str, int]:
-    """Feature -> its evidence class, 1 to CLASSES - 1. `counts`: feature, toxic, clean."""
+def _lexicon(counts: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    """feature, class (1 to CLASSES - 1) of every feature with evidence; stored. `counts`: feature, toxic, clean."""
     scored = counts.where("toxic > 1").withColumn("evidence", _evidence(F.col("toxic"), F.col("clean"), *totals))
-    best = scored.where(F.col("evidence") >= LEAST).orderBy(F.desc("evidence"), "feature").limit(LEXICON)
-    return {row["feature"]: min(CLASSES - 1, int(row["evidence"])) for row in best.select("feature", "evidence").collect()}
+    level = F.least(F.lit(CLASSES - 1), F.floor("evidence").cast("int")).alias("class")
+    return stored(scored.where(F.col("evidence") >= LEAST).select("feature", level), "lexicon")
+
+
+def _held(lexicon: DataFrame) -> dict[str, int] | None:
+    """The lexicon as a table for every task, None if that would be too large."""
+    return {row["feature"]: row["class"] for row in lexicon.collect()} if fits_broadcast(lexicon, limit=LEXICON_BYTES) else None
+
+
+def _joined(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """`rows` (row, text, ...) with `known`: the features of its own words that the lexicon has, and their classes."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [list({f for word in set(_WORDS.findall(text or "")) for f in _features(word)}) for text in batch["text"].to_pylist()]
+            which = np.repeat(np.arange(batch.num_rows), [len(some) for some in found])
+            features = pa.array([f for some in found for f in some], pa.string())
+            yield pa.RecordBatch.from_arrays([batch["row"].take(pa.array(which)), features], names=["row", "feature"])
+
+    each = rows.select("row", "text").mapInArrow(words, "row bigint, feature string")
+    hits = measured_join(each, lexicon, "feature").groupBy("row").agg(F.collect_list(F.struct("feature", "class")).alias("known"))
+    return rows.join(hits, "row", "left")
 
 
 class Classes:
@@ -114,6 +140,14 @@ class Classes:
         return np.fromiter(map(known.__getitem__, words), np.int8, len(words))
 
 
+def _classes_of(batch: pa.RecordBatch, texts: list[str | None], classes: Classes | None) -> Iterator[np.ndarray]:
+    """The classes of every text's words, by `classes` or, without it, by the row's own `known`."""
+    own = batch["known"].to_pylist() if classes is None else [None] * len(texts)
+    for text, known in zip(texts, own):
+        table = classes or Classes({entry["feature"]: entry["class"] for entry in known or ()})
+        yield table.of(_WORDS.findall(text or ""))
+
+
 def _inputs(classes: np.ndarray) -> np.ndarray:
     """One number for the classes of a word and its neighbours; `classes`: positions along the first axis."""
     wide = classes.astype(np.int16)
@@ -221,15 +255,15 @@ class Chain:
         return total
 
 
-def _stretches(rows: DataFrame, lexicons: dict[int, dict[str, int]]) -> DataFrame:
-    """classes, labels (bytes, STRETCH each) of all training stretches; a row's classes come from the other half's lexicon."""
+def _stretches(rows: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """classes, labels (bytes, STRETCH each) of all stretches of `rows`."""
+    held = _held(lexicon)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {half: Classes(lexicon) for half, lexicon in lexicons.items()}
+        table = None if held is None else Classes(held)
         for batch in batches:
             found, marked = [], []
-            for text, toxic, half in zip(*(batch[name].to_pylist() for name in ("text", "toxic", "half"))):
-                classes = known[1 - half].of(_WORDS.findall(text))
+            for classes, toxic in zip(_classes_of(batch, batch["text"].to_pylist(), table), batch["toxic"].to_pylist()):
                 classes = np.concatenate([classes, np.zeros(-len(classes) % STRETCH, np.int8)])
                 marks = ((classes > 0) & bool(toxic)).astype(np.int8)
                 for at in range(0, len(classes), STRETCH):
@@ -237,27 +271,43 @@ def _stretches(rows: DataFrame, lexicons: dict[int, dict[str, int]]) -> DataFram
                     marked.append(marks[at : at + STRETCH].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(marked, pa.binary())], names=["classes", "labels"])
 
-    return rows.mapInArrow(cut, "classes binary, labels binary")
+    known = rows if held is not None else _joined(rows, lexicon)
+    return known.mapInArrow(cut, "classes binary, labels binary")
+
+
+def sampled(kinds: DataFrame, size: int) -> pd.DataFrame:
+    """At most `size` kinds, with `weight`. `kinds`: classes, labels, times.
+
+    A kind's priority is its times over a uniform number of its own. The kinds of the highest priorities are taken, and each stands for its
+    times or the first priority that was not taken, whichever is more; sums over the sample are right on average.
+    """
+    uniform = (F.shiftright(F.xxhash64("classes", "labels"), 11) + 2**52 + 1) / F.lit(float(2**53))
+    ranked = kinds.withColumn("priority", F.col("times") / uniform).orderBy(F.desc("priority"), "classes", "labels")
+    found = ranked.limit(size + 1).toPandas().sort_values("priority", ascending=False, kind="stable")
+    least = found["priority"].iloc[size] if len(found) > size else 0.0
+    return found.iloc[:size].assign(weight=lambda some: np.maximum(some["times"].to_numpy(float), least))
 
 
-def train(rows: DataFrame) -> tuple[dict[str, int], Chain] | None:
+def train(rows: DataFrame) -> tuple[DataFrame, Chain] | None:
     """The lexicon of all training rows and the fitted chain; None if there is nothing to tell apart. `rows`: stored."""
     totals = {row["half"]: (row["toxic"], row["clean"]) for row in rows.groupBy("half").agg(
         F.count_if(F.col("toxic") > 0).alias("toxic"), F.count_if(F.col("toxic") <= 0).alias("clean")).collect()}
     toxic, clean = (sum(pair[i] for pair in totals.values()) for i in (0, 1))
     if not toxic or not clean:
         return None
-    counts = stored(word_counts(rows), "words")
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).repartition(-(-(toxic + clean) // TASK_ROWS), "row")
+    counts = stored(word_counts(rows.select("text", "toxic", "half")), "words")
     halves = {half: _lexicon(counts.where(F.col("half") == half), totals.get(half, (0, 0))) for half in (0, 1)}
     whole = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    lexicon = _lexicon(whole, (toxic, clean))
-    kinds = _stretches(rows, halves).groupBy("classes", "labels").agg(F.count("*").alias("times"))
-    sample = kinds.orderBy(F.xxhash64("classes", "labels")).limit(CHAINS).toPandas()
+    # A row's classes come from the other half's lexicon.
+    parts = (_stretches(rows.where(F.col("half") == half), halves[1 - half]) for half in (0, 1))
+    kinds = next(parts).unionByName(next(parts)).groupBy("classes", "labels").agg(F.count("*").alias("times"))
+    sample = sampled(stored(kinds, "stretches"), CHAINS)
     chain = Chain()
     if len(sample):
         stack = [np.frombuffer(b"".join(sample[name].map(bytes)), np.int8).reshape(-1, STRETCH) for name in ("classes", "labels")]
-        chain.fit(*stack, sample["times"].to_numpy(float))
-    return lexicon, chain
+        chain.fit(*stack, sample["weight"].to_numpy(float))
+    return _lexicon(whole, (toxic, clean)), chain
 
 
 def _groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
@@ -271,7 +321,7 @@ def _groups(lengths: np.ndarray) -> Iterator[np.ndarray]:
         at += size
 
 
-def score(docs: DataFrame, model: tuple[dict[str, int], Chain] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: tuple[DataFrame, Chain] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, score, spans (array of start, end, score; offsets in characters)."""
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())])
     schema = T.StructType(
@@ -281,13 +331,13 @@ def score(docs: DataFrame, model: tuple[dict[str, int], Chain] | None, id_col: s
     if model is None:
         return rows.select("id", F.lit(0.0).alias("score"), F.array().cast(T.ArrayType(span)).alias("spans"))
     lexicon, chain = model
-    odds, moves = chain.table(), np.exp(chain.moves)
+    odds, moves, held = chain.table(), np.exp(chain.moves), _held(lexicon)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(lexicon)
+        table = None if held is None else Classes(held)
         for batch in batches:
             texts = batch["text"].to_pylist()
-            found = [_inputs(classes.of(_WORDS.findall(text or ""))) for text in texts]
+            found = [_inputs(classes) for classes in _classes_of(batch, texts, table)]
             lengths = np.array([len(one) for one in found], np.int64)
             scores, spans = np.zeros(len(texts)), [[] for _ in texts]
             for group in _groups(lengths):
@@ -302,6 +352,8 @@ def score(docs: DataFrame, model: tuple[dict[str, int], Chain] | None, id_col: s
             columns = [batch["id"], pa.array(scores), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])))]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "score", "spans"])
 
+    if held is None:
+        rows = _joined(stored(rows.withColumn("row", F.monotonically_increasing_id()), "scored"), lexicon)
     return rows.mapInArrow(tag, schema)
 
 

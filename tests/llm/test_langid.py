@@ -1,3 +1,4 @@
+import numpy as np
 from collections import Counter
 
 import pytest
@@ -86,3 +87,30 @@ def test_held_out_accuracy(spark):
     rows = found.where("held_out AND lang IS NOT NULL").collect()
     assert len(rows) > 150
     assert sum(row.lang == row.lang_pred for row in rows) >= 0.97 * len(rows)
+
+
+def test_the_filter_goes_by_the_prediction(spark):
+    texts = {"en": "the dog and the cat run over the hill with the others", "de": "der hund und die katze laufen über den hügel mit den anderen"}
+    rows = [(n, texts[lang] + f" {word}", lang) for n, (lang, word) in enumerate((lang, word) for lang in texts for word in ("a", "b", "c"))]
+    rows += [(10, "ο σκύλος και η γάτα τρέχουν", None), (11, "123 456", None), (12, "the cat and the dog", None), (13, "die katze und der hund", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = langid.profiles(docs)
+    ids = lambda found: sorted(r.doc_id for r in found.collect())
+    assert ids(langid.accepted(docs, learned)) == [0, 1, 2, 3, 4, 5, 12, 13]
+    assert ids(langid.accepted(docs, learned, keep={"de"})) == [3, 4, 5, 13]
+    assert ids(langid.accepted(docs, learned, keep=set())) == []
+    assert ids(langid.accepted(docs, {})) == [0, 1, 2, 3, 4, 5, 10, 12, 13]
+
+
+def test_many_languages():
+    """Profiles of 2,000 languages are an index of 800,000 entries, and predict as a plain count does."""
+    random = np.random.default_rng(0)
+    learned = {f"l{n:04}": random.choice(300_000, langid.PROFILE, replace=False).tolist() for n in range(2000)}
+    text = "the dog and the cat run over the hill"
+    found, counts = langid.grams(text)
+    ranked = found[np.argsort(-counts, kind="stable")].tolist()
+    for n in (3, 700, 1999):
+        learned[f"l{n:04}"][: len(ranked)] = ranked if n == 700 else ranked[::-1]
+    model = langid.RankOrder(learned)
+    assert sum(part.nbytes for part in (model.known, model.starts, model.speakers, model.places)) < 30_000_000
+    assert model.predict(text) == ("l0700", 1.0)

@@ -1,10 +1,11 @@
+import math
 import re
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from placelens.llm import mixing
+from placelens.llm import common, mixing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,3 +76,51 @@ def test_rows_of_odd_tables(odd_docs, no_docs):
     assert rows.columns == odd_docs.columns
     assert all(WORD.search(row.text) for row in rows.collect())
     assert mixing.mixed_rows(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_repeated_rows_meet_the_target(spark, monkeypatch, small):
+    """200 copies of one row next to a large source: some of them come twice, some once; reruns agree."""
+    if small:
+        monkeypatch.setattr(common, "fits_broadcast", lambda df, **_: False)
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    rows = [(1, "a b c d e", "copies", n % 2) for n in range(200)] + [(None, "x y", "null ids", 1)] * 50
+    rows += [(10 + n, "w " * (n % 9 + 1), "plain", 1) for n in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int")
+    found = mixing.mix(docs).collect()
+    taken, goal, longest = Counter(), {}, Counter()
+    for row in found:
+        source = {1: "copies", None: "null ids"}.get(row.id, "plain")
+        taken[source] += row.taken
+        goal[source] = row.target
+        longest[source] = max(longest[source], row.size)
+        assert row.taken in (0, row.size, 2 * row.size)
+    assert all(abs(taken[s] - goal[s]) <= max(longest[s], 0.002 * goal[s]) for s in goal)
+    assert any(row.copies == 1 for row in found if row.id == 1) or goal["copies"] in (0, 2000)
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, found))
+    copies = Counter(row.doc_id for row in mixing.mixed_rows(docs).collect())
+    expected = Counter()
+    for row in found:
+        expected[row.id] += row.copies
+    assert copies == Counter({i: n for i, n in expected.items() if n})
+
+
+def test_rates_solve_the_dual(corpus):
+    """Tilts against a plain bisection in Python: rates of every document, and the whole parts of its copies."""
+    found = mixing.mix(corpus).collect()
+    by_id = {row.doc_id: row.source for row in corpus.select("doc_id", "source").collect()}
+    sizes = defaultdict(list)
+    for row in found:
+        sizes[by_id[row.id]].append(row)
+    for rows in sizes.values():
+        total, goal = sum(r.size for r in rows), rows[0].target
+        mean, low, high = total / len(rows), -60.0, 60.0
+        for _ in range(200):
+            tilt = (low + high) / 2
+            got = sum(r.size * 2 / (1 + math.exp(-tilt * r.size / mean)) for r in rows)
+            low, high = (tilt, high) if got < goal else (low, tilt)
+        for row in rows:
+            rate = 2.0 if goal >= 2 * total else 2 / (1 + math.exp(-tilt * row.size / mean))
+            assert row.rate == pytest.approx(rate, abs=2e-3)
+            assert int(row.rate) <= row.copies <= min(2, int(row.rate) + 1)

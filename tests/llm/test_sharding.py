@@ -24,7 +24,7 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
 
 
 def test_every_shard_has_the_mixture(spark, monkeypatch):
-    monkeypatch.setattr(common, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(common, "RANGE_ROWS", 100)
     docs = spark.range(3000).select(
         F.col("id").alias("doc_id"),
         F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"),
@@ -38,3 +38,51 @@ def test_every_shard_has_the_mixture(spark, monkeypatch):
             assert abs(n - total[stratum] / 8) <= 2
     again = sharding.interleave(docs.repartition(5), 8).collect()
     assert {(r.id, r.shard, r.slot) for r in found} == {(r.id, r.shard, r.slot) for r in again}
+
+
+def _plain(rows, shards, seeded):
+    """Shard and slot by sorting in Python; rows: (id, stratum, size, crc), seeded: their place in the seeded order."""
+    strata = {}
+    for row in sorted(rows, key=lambda r: (r[1] is None, r[1] or "", seeded[r])):
+        strata.setdefault(row[1], []).append(row)
+    line = [((rank + 0.5) / len(some), stratum is None, stratum or "", row) for stratum, some in strata.items() for rank, row in enumerate(some)]
+    out, total = [], len(line)
+    for place, (_, _, _, row) in enumerate(sorted(line, key=lambda entry: entry[:3])):
+        shard = place * shards // total
+        out.append((row[0], row[1], shard, place - -(-shard * total // shards)))
+    return sorted(out, key=str)
+
+
+def test_against_a_plain_ranking(spark, odd_docs, monkeypatch):
+    """One-row sources, copies, a hot source and odd rows, in ranges of few rows."""
+    monkeypatch.setattr(common, "RANGE_ROWS", 50)
+    rows = [(n, f"text {n}", f"s{n}") for n in range(400)] + [(1000, "same", "copies")] * 300 + [(2000 + n, f"t{n % 5}", "hot") for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").unionByName(odd_docs.select("doc_id", "text", "source"))
+    found = sharding.interleave(docs, 7)
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    size = (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("bigint")
+    plain = docs.select("doc_id", "source", size.alias("size"), crc.alias("crc")).withColumn("mixed", F.xxhash64(F.lit(7), "doc_id", "crc", "size")).collect()
+    keys = [tuple(r[:4]) for r in plain]
+    seeded = {tuple(r[:4]): (r.mixed, r[0] is not None, r[0] or 0) for r in plain}
+    assert sorted(((r.id, r.stratum, r.shard, r.slot) for r in found.collect()), key=str) == _plain(keys, 7, seeded)
+
+
+def test_no_range_holds_all_one_row_sources(spark, monkeypatch):
+    """Fractions are all the same there, and copies agree in all columns: ranges stay small."""
+    monkeypatch.setattr(common, "RANGE_ROWS", 500)
+    docs = spark.range(8000).select(
+        F.when(F.col("id") < 4000, F.col("id")).otherwise(1).alias("doc_id"), F.lit("t").alias("text"),
+        F.when(F.col("id") < 4000, F.col("id").cast("string")).otherwise("copies").alias("source"),
+    )
+    sizes = []
+    real = common.stored
+
+    def watched(df, name):
+        found = real(df, name)
+        if name == "ranges":
+            sizes.append(found.groupBy("_range").count().agg(F.max("count")).first()[0])
+        return found
+
+    monkeypatch.setattr(common, "stored", watched)
+    assert sharding.interleave(docs, 8).count() == 8000
+    assert len(sizes) == 2 and max(sizes) <= 1000

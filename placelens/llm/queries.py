@@ -55,22 +55,33 @@ def op6_nearest(spark, sf_dir):
 def op7_token_counts(spark, sf_dir):
     """Every document is counted and inserted; then toxic ones are deleted and low-quality ones lower-cased, recounted and revised.
 
-    The second batch is delivered twice, as after a lost acknowledgement.
+    That batch is delivered twice, as after a lost acknowledgement. A third one moves the other documents of high quality to another tokenizer version.
     """
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.min("quality").alias("quality")
     )
     docs = measured_join(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), labels, "doc_id", "left")
-    kind = F.when(F.col("toxic") == 1, "delete").when(F.col("quality") == 0, "revise")
-    changed = docs.withColumn("kind", kind)
-    texts = changed.withColumn("lower", F.when(F.col("kind") == "revise", plain_lower(F.col("text"))))
-    first = token_counts.counted(texts, tokenizer_file(), into="previous")
-    rows = stored(token_counts.counted(first, tokenizer_file(), "lower"), "token-counts")
-    version = F.lit("byte_bpe_50k").alias("version")
+    step = F.when(F.col("toxic") == 1, "delete").when(F.col("quality") == 0, "revise").when(F.col("quality") == 1, "move")
+    texts = docs.withColumn("step", step).select(
+        "source", "lang", "step", "text",
+        F.when(F.col("step") == "revise", plain_lower(F.col("text"))).alias("lower"),
+        F.when(F.col("step") == "move", F.col("text")).alias("moved"),
+    )
+    plain, word = tokenizer_file(), tokenizer_file("word_bpe_49k.json")
+    for column, file, into in (("text", plain, "first"), ("lower", plain, "second"), ("moved", word, "third")):
+        texts = token_counts.counted(texts, file, column, into)
+    rows = stored(texts, "token-counts")
+
+    def changes(part, kind, new_version, tokens):
+        old = [F.col(name).alias(f"old_{name}") for name in ("source", "lang")]
+        old += [F.lit("byte_bpe_50k").alias("old_version"), F.col("first").alias("old_tokens")]
+        return part.select(kind.alias("kind"), "source", "lang", F.lit(new_version).alias("version"), F.col(tokens).alias("tokens"), *old)
+
     rollup = shared_folder(spark, "rollup")
-    inserts = rows.select(F.lit("insert").alias("kind"), "source", "lang", version, F.col("previous").alias("tokens"), "previous")
-    changes = rows.where("kind IS NOT NULL").select("kind", "source", "lang", version, "tokens", "previous")
-    for batch, part in (("0", inserts), ("1", changes), ("1", changes)):
+    inserts = changes(rows, F.lit("insert"), "byte_bpe_50k", "first")
+    edits = changes(rows.where("step IN ('delete', 'revise')"), F.col("step"), "byte_bpe_50k", "second")
+    moves = changes(rows.where("step = 'move'"), F.lit("revise"), "word_bpe_49k", "third")
+    for batch, part in (("0", inserts), ("1", edits), ("1", edits), ("2", moves)):
         token_counts.commit(part, rollup, batch)
     return token_counts.totals(spark, rollup)
 

@@ -10,7 +10,7 @@ from placelens.llm.queries import tokenizer_file
 
 
 def language_id(spark, docs, sf_dir):
-    """Learn from all rows with a language; documents without a letter go, and only those."""
+    """Learn from all rows with a language; documents without a letter go, and those that resemble no learned language."""
     importable(spark)
     return langid.accepted(docs, langid.profiles(docs))
 

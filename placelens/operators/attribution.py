@@ -92,27 +92,29 @@ def pv_uv(rows: DataFrame, keys: list[str], visitor: str, pv: str, uv: str) -> D
     return rows.groupBy(*keys).agg(F.count(visitor).alias(pv), F.countDistinct(visitor).alias(uv))
 
 
-def slot_traffic(
+def visitor_views(
     slots: DataFrame,
     logs: dict[str, DataFrame],
     keys: list[str] = SLOT_KEYS,
     span: tuple[int, int] | None = None,
     right_open: bool = False,
 ) -> DataFrame:
-    """PV and UV of every distinct slot interval, for all logs in one pass.
+    """keys, interval, log, visitor, views: how often each visitor came to each distinct slot interval, for all logs in one pass.
 
-    `logs` maps a suffix such as `active` to rows with `keys`, `visitor` and `dateline`. The logs are
-    stacked and joined once. Copies of a slot are counted before the join and multiply its page views
-    after it, as joining every copy would. A metric without rows is NULL.
+    `logs` maps a name to rows with `keys`, `visitor` and `dateline`. The logs are stacked and joined once. Copies of a slot
+    are counted before the join and multiply its page views after it, as joining every copy would.
     """
-    names = list(logs)
     stacked = None
-    for name in names:
+    for name in logs:
         part = logs[name].select(*keys, "visitor", "dateline", F.lit(name).alias("log"))
         stacked = part if stacked is None else stacked.unionByName(part)
     distinct = slots.groupBy(*keys, *INTERVAL).agg(F.count("*").alias("copies"))
     attributed = interval_join(distinct, stacked, keys, span=span, right_open=right_open)
-    per_visitor = attributed.groupBy(*keys, *INTERVAL, "log", "visitor").agg(F.sum("copies").alias("views"))
+    return attributed.groupBy(*keys, *INTERVAL, "log", "visitor").agg(F.sum("copies").alias("views"))
+
+
+def traffic(per_visitor: DataFrame, names: list[str], keys: list[str] = SLOT_KEYS) -> DataFrame:
+    """PV and UV of every slot interval from rows as of `visitor_views`, each visitor once; a metric without rows is NULL."""
     metrics = []
     for name in names:
         mine = F.col("log") == name
@@ -121,6 +123,17 @@ def slot_traffic(
     return per_visitor.groupBy(*keys, *INTERVAL).agg(*metrics)
 
 
+def slot_traffic(
+    slots: DataFrame,
+    logs: dict[str, DataFrame],
+    keys: list[str] = SLOT_KEYS,
+    span: tuple[int, int] | None = None,
+    right_open: bool = False,
+) -> DataFrame:
+    """PV and UV of every distinct slot interval, for all logs in one pass; `logs` maps a suffix such as `active` to a log."""
+    return traffic(visitor_views(slots, logs, keys, span, right_open), list(logs), keys)
+
+
 def slot_report(slots: DataFrame, traffic: DataFrame, keys: list[str] = SLOT_KEYS) -> DataFrame:
     """Every slot row with its traffic; slots without traffic keep NULL metrics."""
     return slots.join(traffic, [*keys, *INTERVAL], "left")

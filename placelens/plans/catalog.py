@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelens.functions import dates, text, urls
-from placelens.operators import attribution, enrichment, lookups, ranking, tokens, versions
+from placelens.operators import attribution, enrichment, increments, lookups, ranking, tokens, versions
 from placelens.plans import inputs
 from placelens.plans.attribution import PAGE_SOURCETYPES, VIDEO_SOURCETYPES, attribution_report, slot_table
 from placelens.plans.scoring import ScoreInputs, score_enrichment
 from placelens.session import shared_folder, single_machine, written
 from placelens.sinks import jdbc as jdbc_sink
+from placelens.sinks import snapshots
 from placelens.sinks import tables as table_sink
 from placelens.sources import jdbc, logs, partitions, streams, synthetic, tsv
+from placelens.streaming import ledger
 from placelens.streaming import tokens as token_stream
+from placelens.streaming import traffic as stream_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,6 +233,19 @@ def pv_uv_slot_total(spark, sf_dir):
     return attribution.pv_uv(_attributed_clicks(spark, sf_dir), attribution.SLOT_KEYS, "visitor", "pv_active", "uv_active")
 
 
+@query
+def pv_uv_increments(spark, sf_dir):
+    """The report day in three runs, of which one is delivered twice, merged."""
+    slots, seconds = written(_slots(spark, sf_dir), "slots"), 8 * 3600
+    clicks = logs.click_log(inputs.click_table(spark, sf_dir), REPORT_DAY, apptypeid="main", suptop="0001")
+    views = logs.view_log(inputs.view_table(spark, sf_dir), REPORT_DAY, domain="main", newstag="0001")
+    path = shared_folder(spark, "increments")
+    first, second, last = increments.runs_of(REPORT_DAY, seconds)
+    for run in (first, second, second, last):
+        increments.deliver(path, slots, {"active": clicks, "show": views}, run, seconds=seconds)
+    return increments.day_traffic(spark, path, REPORT_DAY, ["active", "show"])
+
+
 # --- score enrichment ------------------------------------------------------------------------------
 
 
@@ -383,6 +399,41 @@ def stream_token_count(spark, sf_dir):
     return spark.read.schema("token string, n bigint, batch_id int").parquet(out).select("token", "n")
 
 
+@query
+def stream_pv_uv(spark, sf_dir):
+    """Clicks per place and ten minutes from a stream that is stopped in between; the rows after the stop are mostly late.
+
+    Every tenth event arrives after the others. Windows that the stream has given out by then do not change.
+    """
+    arrivals = shared_folder(spark, "arrivals")
+    raw = inputs.table(spark, sf_dir, "events")
+    checkpoint, path = shared_folder(spark, "traffic-state"), shared_folder(spark, "traffic")
+    for late in (False, True):
+        raw.where((F.col("event_id") % 10 == 0) == late).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(raw.schema).parquet(arrivals)
+        clicks = logs.click_log(inputs.click_rows(inputs.numbered_events(stream)), apptypeid="main", suptop="0001")
+        totals = stream_traffic.windowed_traffic(clicks, ["typename"])
+        stream_traffic.run(totals, path, checkpoint).awaitTermination()
+    return snapshots.read(spark, path, totals.schema)
+
+
+@query
+def stream_token_ledger(spark, sf_dir):
+    """Tokens of all documents through the ledger: totals over its batches, one of which is committed twice."""
+    schema = inputs.table(spark, sf_dir, "documents").schema
+    messages = streams.file_messages(spark, f"{sf_dir}/{{documents.parquet}}", schema, "text", positions=True)
+    path = shared_folder(spark, "token-ledger")
+
+    def compute(batch):
+        return tokens.token_count(batch)
+
+    ledger.start(messages, compute, path, shared_folder(spark, "ledger-offsets")).awaitTermination()
+    again = inputs.table(spark, sf_dir, "documents").select(F.lit("again").alias("source"), F.lit(0).alias("position"), F.col("text").alias("value"))
+    ledger.commit(again, compute, path, 0)
+    counted = ledger.results(spark, path, "token string, n bigint")
+    return counted.groupBy("token").agg(F.sum("n").alias("n"))
+
+
 @query
 def synthetic_tokens(spark, sf_dir):
     return synthetic.token_messages(inputs.table(spark, sf_dir, "events"), "event_id")

@@ -10,9 +10,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered_events(raw: DataFrame) -> DataFrame:
+    """Rows of `events`, a table or a stream, with `k`, the number in their properties (0 to 99)."""
+    return raw.selectExpr("*", "cast(substring_index(rtrim('}', props), ' ', -1) as int) as k")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with `k`, the number in their properties (0 to 99)."""
-    return table(spark, sf_dir, "events").selectExpr("*", "cast(substring_index(rtrim('}', props), ' ', -1) as int) as k")
+    return numbered_events(table(spark, sf_dir, "events"))
 
 
 ARTICLE = "concat('https://site.example/{site}/', lpad(cast(user_id as string), 16, '0'), '.html?', {query})"
@@ -52,8 +56,13 @@ DAY = "date_format(ts, 'yyyyMMdd')"
 
 def click_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw click log."""
+    return click_rows(events(spark, sf_dir))
+
+
+def click_rows(numbered: DataFrame) -> DataFrame:
+    """The raw click log in rows of `numbered_events`."""
     return (
-        events(spark, sf_dir).where("event_type = 'click'").withColumn("dateline", epoch_seconds("ts")).selectExpr(
+        numbered.where("event_type = 'click'").withColumn("dateline", epoch_seconds("ts")).selectExpr(
             f"{VISITOR} as clientime", "dateline", f"{ORIGIN} as urlfrom", "string(user_id % 3) as idx02",
             "string(user_id % 2) as pgnum", f"{TARGET.format(site='m')} as urlto", f"{APP} as apptypeid",
             f"{TAG} as suptop", f"{DAY} as dt",

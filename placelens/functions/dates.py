@@ -44,6 +44,23 @@ def from_text(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(TEXT_FORMAT))
 
 
+def from_text_lenient(text: Column) -> Column:
+    """The beginning of a text read as a time whose fields may lie beyond their range and roll over: 2024-02-30 is 1 March.
+
+    Fields are whole numbers, of as many digits as there are; month 0 is the December before, day 0 the last of the month before.
+    A text that does not begin with all six fields gives NULL, as does a year that Spark's dates do not have.
+    """
+    number = r"([+-]?[0-9]{1,9})"
+    pattern = rf"^([0-9]{{1,4}})-{number}-{number} +{number}:{number}:{number}"
+    year, month, day, hour, minute, second = (
+        F.regexp_extract(text, pattern, group).try_cast("bigint") for group in range(1, 7)
+    )
+    months = year * 12 + month - 1
+    first = F.try_make_timestamp(F.floor(months / 12).cast("int"), (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    seconds = (day - 1) * 86_400 + hour * 3600 + minute * 60 + second
+    return F.timestamp_seconds(F.unix_timestamp(first) + seconds)
+
+
 def midnight(moment: Column) -> Column:
     return F.date_trunc("day", moment)
 

@@ -4,10 +4,12 @@ python -m placelens.jobs.scoring 2024011510 --scores ... --crawler ... --video .
 """
 
 import argparse
+import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from placelens.jobs.options import add_jdbc
+from placelens.operators.observed import observed
 from placelens.plans.scoring import ScoreInputs, score_enrichment
 from placelens.session import build_session, remove_written
 from placelens.sinks.jdbc import replace_part
@@ -31,14 +33,17 @@ def parser() -> argparse.ArgumentParser:
     return parser
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> None:
+def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, dict[str, int]]:
+    """Replace the hour; how many lines of each input were kept and dropped."""
     inputs = ScoreInputs(args.scores, args.crawler, args.video, args.short_video)
-    rows = result_rows(score_enrichment(spark, args.run, inputs, args.dedup, args.keep_empty))
+    seen = {name: Observation() for name in ("scores", "crawler", "video", "short_video")}
+    rows = result_rows(score_enrichment(spark, args.run, inputs, args.dedup, args.keep_empty, seen))
     part = {"dt": args.run[:8], "hour": args.run[8:10]}
     if args.output:
         replace_one_part(rows, args.output, part)
     else:
         replace_part(rows, args.jdbc_url, args.table, part, RESULT_TYPES, dict(args.jdbc_option), args.quote)
+    return {name: observed(one) for name, one in seen.items()}
 
 
 def main() -> None:
@@ -47,7 +52,7 @@ def main() -> None:
         raise SystemExit("give either --output or --table")
     spark = build_session(f"scores-{args.run}")
     try:
-        run(spark, args)
+        print(json.dumps(run(spark, args)))
     finally:
         remove_written(spark)
         spark.stop()

@@ -52,6 +52,11 @@ def version_intervals(
     """
     key = [key] if isinstance(key, str) else key
     versions = history.join(next_times(history, key, order, tie, slice_unit), [*key, order], "left")
+    return version_bounds(versions, order, start, end, tie)
+
+
+def version_bounds(versions: DataFrame, order: str, start: str, end: str, tie: str) -> DataFrame:
+    """Intervals and day tags of versions that have `_last`, the greatest tie of their instant, and `_next`, the next one (see `next_times`)."""
     next_edit = F.when(F.col(tie) < F.col("_last"), F.col(order)).otherwise(F.col("_next"))
     bounds = {"real_starttime": F.greatest(start, order), "real_endtime": F.least(F.col(end), next_edit)}
     tags = {"real_startdate": day_tag("real_starttime"), "real_enddate": day_tag("real_endtime")}

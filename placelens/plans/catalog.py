@@ -1,12 +1,13 @@
 """Every registered query: name -> (spark, sf_dir) -> DataFrame."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placelens.functions import dates, text, urls
-from placelens.operators import attribution, enrichment, increments, lookups, ranking, tokens, versions
+from placelens.operators import attribution, enrichment, increments, interval_store, lookups, ranking, tokens, versions
 from placelens.plans import inputs
 from placelens.plans.attribution import PAGE_SOURCETYPES, VIDEO_SOURCETYPES, attribution_report, slot_table
 from placelens.plans.scoring import ScoreInputs, score_enrichment
@@ -26,7 +27,7 @@ TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
-REPORT_DAY = "20240115"
+REPORT_DAY, LATER_DAY = "20240115", "20240116"
 SCORE_RUN = "2024010100"
 JDBC_URL_SETTING = "spark.placelens.jdbc.url"
 
@@ -122,6 +123,18 @@ def version_intervals_orders(spark, sf_dir):
     return versions.version_intervals(orders).select("id", "seq", "real_starttime", "real_endtime")
 
 
+@query
+def version_intervals_merge(spark, sf_dir):
+    """The intervals of all edits, merged day by day into a table: first all but two days, then the later, then the earlier and both again."""
+    edits = written(inputs.history(spark, sf_dir), "edits")
+    store = interval_store.IntervalStore(spark, shared_folder(spark, "intervals"), edits.schema)
+    day = dates.day_tag("modifydate")
+    late = [REPORT_DAY, LATER_DAY]
+    for part in (edits.where(~day.isin(late)), edits.where(day == LATER_DAY), edits.where(day.isin(late))):
+        store.merge(part)
+    return versions.drop_tombstones(store.read()).select(*VERSION_COLUMNS)
+
+
 @query
 def explode_types(spark, sf_dir):
     return versions.explode_list(inputs.history(spark, sf_dir)).select("id", "seq", "newstype", "typeid")
@@ -314,6 +327,32 @@ def replace_partition_sink(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path).select(*table_sink.RESULT_COLUMNS)
 
 
+@query
+def snapshot_replace_sink(spark, sf_dir):
+    """The same replacements by snapshots; a reader opened before the last one counts the rows it began with."""
+    path = shared_folder(spark, "snapshots")
+    rows = inputs.scores(spark, sf_dir).select(
+        "hour", F.lit("score").alias("urltype"), "url", F.concat(F.lit("title "), F.col("url")).alias("title"), "rate", "dt"
+    )
+    changed = rows.where(F.col("dt") == REPORT_DAY).withColumn("rate", F.col("rate") + 1)
+    for part in (rows, changed, changed):
+        snapshots.publish(part, path, "dt")
+    return snapshots.read(spark, path, rows.drop("dt").schema, part_col="dt").select(*table_sink.RESULT_COLUMNS)
+
+
+@query
+def replace_table_sink(spark, sf_dir):
+    """A partitioned catalogue table: all days written, then one of them twice more with other rates."""
+    rows = inputs.scores(spark, sf_dir).select(
+        "hour", F.lit("score").alias("urltype"), "url", F.concat(F.lit("title "), F.col("url")).alias("title"), "rate", "dt"
+    )
+    changed = rows.where(F.col("dt") == REPORT_DAY).withColumn("rate", F.col("rate") + 1)
+    name = table_sink.new_table(rows.limit(0), f"scores_{uuid.uuid4().hex}", ["dt"])
+    for part in (rows, changed, changed):
+        table_sink.replace_in_table(part, name)
+    return spark.table(name).select(*table_sink.RESULT_COLUMNS)
+
+
 @query
 def score_enrichment_run(spark, sf_dir):
     """One hour from text tables to the result: days of three catalogues, scores, priority, and the hour replaced twice."""
@@ -326,7 +365,7 @@ def score_enrichment_run(spark, sf_dir):
 
     roots = [kept(lines, "catalogue-text") for lines in inputs.catalogue_text(spark, sf_dir, day)]
     texts = ScoreInputs(kept(inputs.score_text(spark, sf_dir), "score-text"), *roots)
-    rows = table_sink.result_rows(score_enrichment(spark, SCORE_RUN, texts))
+    rows = written(table_sink.result_rows(score_enrichment(spark, SCORE_RUN, texts)), "enriched")
     path = shared_folder(spark, "result")
     for _ in range(2):
         table_sink.replace_one_part(rows, path, {"dt": day, "hour": hour})
@@ -379,6 +418,15 @@ def jdbc_query_pushdown(spark, sf_dir):
     )
 
 
+@query
+def jdbc_quantile_scan(spark, sf_dir):
+    """A table most of whose ids lie in a small part of their range, read in parts of like size."""
+    url = _database(spark, "quantiles")
+    rows = _nation_summary(spark, sf_dir).withColumn("id", F.when(F.col("n_nationkey") < 22, F.col("n_nationkey")).otherwise(F.col("n_nationkey") * 1000))
+    rows.write.option("createTableColumnTypes", "n_name VARCHAR(64)").jdbc(url, "nation_skewed", mode="overwrite")
+    return jdbc.scan_evenly(spark, url, "nation_skewed", "id", partitions=5)
+
+
 # --- streams and tokens ----------------------------------------------------------------------------
 
 
@@ -606,6 +654,18 @@ def date_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def date_lenient(spark, sf_dir):
+    """Texts whose month, day, hour, minute and second may lie beyond their range; some are no dates."""
+    order, at = F.col("o_orderkey"), F.col("o_orderdate")
+    field = lambda part, more: (F.date_part(F.lit(part), at) + order % more).cast("int").cast("string")
+    clock = [(order % most).cast("int").cast("string") for most in (50, 130, 70)]
+    rolled = F.concat_ws(" ", F.concat_ws("-", field("YEAR", 2), field("MONTH", 25), field("DAY", 60)), F.concat_ws(":", *clock))
+    text_ = F.when(order % 7 == 0, F.concat(F.lit("on "), rolled)).when(order % 5 == 0, F.concat(rolled, F.lit(" or so"))).otherwise(rolled)
+    moment = dates.from_text_lenient(text_)
+    return inputs.table(spark, sf_dir, "orders").select("o_orderkey", text_.alias("given"), dates.to_text(moment).alias("moment"))
+
+
 @query
 def date_midnight(spark, sf_dir):
     return inputs.table(spark, sf_dir, "events").select(

@@ -1,13 +1,20 @@
 """The operators' inputs, derived by Spark from the whole test tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from placelens.functions.dates import epoch_seconds
 from placelens.session import pin_utc
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table."""
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read once in a process: the tables do not change."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = pin_utc(spark).read.parquet(path).schema
+    return pin_utc(spark).read.schema(_schemas[path]).parquet(path)
 
 
 def numbered_events(raw: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from placelens.operators.enrichment import priority_enrich
 from placelens.session import written
@@ -24,17 +24,23 @@ class ScoreInputs:
 
 
 def score_enrichment(
-    spark: SparkSession, run: str, inputs: ScoreInputs, dedup: bool = False, keep_empty: bool = False
+    spark: SparkSession,
+    run: str,
+    inputs: ScoreInputs,
+    dedup: bool = False,
+    keep_empty: bool = False,
+    seen: dict[str, Observation] | None = None,
 ) -> DataFrame:
     """Scores of the hour `run` (yyyyMMddHH) with title, type and URL; crawler wins over video over short video.
 
-    Each catalogue is parsed once and kept as a table, because picking the winners reads it twice.
+    Each catalogue is parsed once and kept as a table, because picking the winners reads it twice. `seen` counts the lines of each
+    input (named like the fields of `ScoreInputs`) that were kept and dropped, in the passes that read them.
     """
-    day = run[:8]
-    layouts = [(inputs.crawler, CRAWLER), (inputs.video, VIDEO), (inputs.short_video, SHORT_VIDEO)]
+    day, seen = run[:8], seen or {}
+    layouts = {"crawler": CRAWLER, "video": VIDEO, "short_video": SHORT_VIDEO}
     catalogues = [
-        written(catalogue_lines(day_range(spark, root, day, DAYS_BACK), layout), "catalogue")
-        for root, layout in layouts
+        written(catalogue_lines(day_range(spark, getattr(inputs, name), day, DAYS_BACK), layout, seen.get(name)), "catalogue")
+        for name, layout in layouts.items()
     ]
-    scores = score_lines(one_hour(spark, inputs.scores, run), run)
+    scores = score_lines(one_hour(spark, inputs.scores, run), run, seen.get("scores"))
     return priority_enrich(scores, catalogues, dedup, keep_empty)

@@ -1,8 +1,9 @@
 """Replace the rows of some day-hours of a result, leave all others untouched."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from placelens.operators.observed import observed
 from placelens.session import delete_folder
 
 # The columns that identify a replaceable part, and the result columns in table order.
@@ -32,17 +33,31 @@ def replace_parts(df: DataFrame, path: str, keys: list[str] = PART_KEYS) -> None
     )
 
 
-def replace_one_part(df: DataFrame, path: str, part: dict[str, str]) -> None:
-    """Replace one known partition, also when the new rows are none.
+def replace_one_part(df: DataFrame, path: str, part: dict[str, str]) -> int:
+    """Replace one known partition, also when the new rows are none; how many they are.
 
-    The old rows stay until the new ones are written; a write that fails leaves them. Only if there are no new rows is the
-    partition deleted.
+    The old rows stay until the new ones are written; a write that fails leaves them. Rows are counted while they are written, so
+    they are computed once; only if there were none is the partition deleted.
     """
-    rows = df.withColumns({key: F.lit(value) for key, value in part.items()})
-    if rows.isEmpty():
+    seen = Observation()
+    rows = df.withColumns({key: F.lit(value) for key, value in part.items()}).observe(seen, F.count(F.lit(1)).alias("rows"))
+    replace_parts(rows, path, list(part))
+    count = observed(seen).get("rows", 0)
+    if not count:
         delete_folder(df.sparkSession, "/".join([path, *(f"{key}={value}" for key, value in part.items())]))
-    else:
-        replace_parts(rows, path, list(part))
+    return count
+
+
+def new_table(df: DataFrame, table: str, keys: list[str], buckets: int = 0, bucket_by: list[str] | None = None) -> str:
+    """A catalogue table of the rows of `df`, partitioned by `keys`, which become its last columns; its name.
+
+    With `buckets` its files are cut and sorted by `bucket_by`: joins and groupings on those columns need no shuffle of the table.
+    """
+    writer = df.write.partitionBy(*keys) if keys else df.write
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(table)
+    return table
 
 
 def replace_in_table(df: DataFrame, table: str) -> None:

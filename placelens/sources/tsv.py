@@ -2,11 +2,12 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from placelens.functions.text import java_split, parse_double
 from placelens.functions.urls import url_key_offset
+from placelens.operators.observed import kept_and_dropped
 
 
 @dataclass(frozen=True)
@@ -37,15 +38,15 @@ def _cell(position: int) -> Column:
     return F.get("_cells", F.lit(position))
 
 
-def catalogue_lines(lines: DataFrame, layout: Layout) -> DataFrame:
+def catalogue_lines(lines: DataFrame, layout: Layout, seen: Observation | None = None) -> DataFrame:
     """`title, typepy, url, urlid` of every line that reaches the last needed column.
 
     Trailing empty columns count as absent. A URL of one character is too short for the id search and
-    drops the line; an empty URL stays and has the empty id.
+    drops the line; an empty URL stays and has the empty id. `seen` counts the lines kept and dropped.
     """
     url = _cell(layout.url)
-    usable = _cells(lines).where((F.size("_cells") >= layout.parts) & (F.length(url) != 1))
-    return usable.select(
+    usable = (F.size("_cells") >= layout.parts) & (F.length(url) != 1)
+    return kept_and_dropped(_cells(lines), usable, seen).where(usable).select(
         _cell(layout.title).alias("title"),
         _cell(layout.typepy).alias("typepy"),
         url.alias("url"),
@@ -53,19 +54,17 @@ def catalogue_lines(lines: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
-def score_lines(lines: DataFrame, run: str | None = None) -> DataFrame:
+def score_lines(lines: DataFrame, run: str | None = None, seen: Observation | None = None) -> DataFrame:
     """`dt, hour, url, rate` from lines `id <tab> number`; bad numbers drop the line.
 
-    Day and hour come from the run argument yyyyMMddHH or, without one, from the tag of the line.
+    Day and hour come from the run argument yyyyMMddHH or, without one, from the tag of the line. `seen` counts the lines kept and dropped.
     """
     tag = F.lit(run) if run else F.col("dt")
-    return (
-        _cells(lines)
-        .select(
-            F.substring(tag, 1, 8).alias("dt"),
-            F.substring(tag, 9, 2).alias("hour"),
-            _cell(0).alias("url"),
-            parse_double(_cell(1)).alias("rate"),
-        )
-        .where(F.col("rate").isNotNull())
+    parsed = _cells(lines).select(
+        F.substring(tag, 1, 8).alias("dt"),
+        F.substring(tag, 9, 2).alias("hour"),
+        _cell(0).alias("url"),
+        parse_double(_cell(1)).alias("rate"),
     )
+    usable = F.col("rate").isNotNull()
+    return kept_and_dropped(parsed, usable, seen).where(usable)

@@ -1,6 +1,8 @@
 """Edge values of the scalar expressions, with results written by hand."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from placelens.functions import dates, text, urls
@@ -128,3 +130,29 @@ def test_run_bounds():
     assert dates.run_bounds("20240115101959") == (1705276800, 1705313400, "20240115")
     assert dates.run_bounds("20240115000500") == (1705190400, 1705276800, "20240114")
     assert dates.day_tags("20240302", 4) == ["20240227", "20240228", "20240229", "20240301", "20240302"]
+
+
+def test_lenient_dates(spark):
+    cases = {
+        "2024-02-30 00:00:00": "2024-03-01 00:00:00", "2023-02-29 00:00:00": "2023-03-01 00:00:00", "2024-13-01 00:00:00": "2025-01-01 00:00:00",
+        "2024-0-10 00:00:00": "2023-12-10 00:00:00", "2024-1-0 0:0:0": "2023-12-31 00:00:00", "2024-01-01 25:61:61": "2024-01-02 02:02:01",
+        "2024-12-31 23:59:60": "2025-01-01 00:00:00", "2024-1-1 1:2:3 and more": "2024-01-01 01:02:03", "2024-25-60 0:0:0": "2026-03-01 00:00:00",
+        "2024-03-01 00:09:59": "2024-03-01 00:09:59", "2024-01-400 00:00:00": "2025-02-03 00:00:00", "2024-1-1 -1:0:0": "2023-12-31 23:00:00",
+        " 2024-01-01 00:00:00": None, "2024-01-01": None, "2024-01-01 10:20": None, "": None, None: None, "x": None,
+    }
+    assert values(spark, lambda c: dates.to_text(dates.from_text_lenient(c)), cases) == list(cases.values())
+    assert values(spark, dates.from_text, ["2024-02-30 00:00:00"]) == [None]  # the strict form stays as it is
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1600, 2400), st.integers(-30, 40), st.integers(-80, 400), *(st.integers(-90, 200) for _ in range(3))), min_size=20, max_size=40))
+def test_lenient_dates_by_calendar_arithmetic(spark, fields):
+    import datetime as dt
+
+    texts, expected = [], []
+    for year, month, day, hour, minute, second in fields:
+        texts.append(f"{year}-{month}-{day} {hour}:{minute}:{second}")
+        months = year * 12 + month - 1
+        moment = dt.datetime(months // 12, months % 12 + 1, 1) + dt.timedelta(days=day - 1, hours=hour, minutes=minute, seconds=second)
+        expected.append(str(moment))
+    assert values(spark, lambda c: dates.to_text(dates.from_text_lenient(c)), texts) == expected

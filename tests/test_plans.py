@@ -173,7 +173,9 @@ def test_scoring_job(spark, tmp_path):
     expected = [(0.25, "f7", "f12", "http://v/2.html"), (0.5, "f9", "f2", "http://c/1.html"), (1.0, None, None, "9")]
     out = str(tmp_path / "result")
     for _ in range(2):
-        scoring_job.run(spark, scoring_job.parser().parse_args(["2024011510", *roots, "--output", out]))
+        counts = scoring_job.run(spark, scoring_job.parser().parse_args(["2024011510", *roots, "--output", out]))
+        assert counts["scores"] == {"kept": 3, "dropped": 1} and counts["video"] == {"kept": 2, "dropped": 0}
+        assert counts["crawler"] == {"kept": 1, "dropped": 0} and not any(counts["short_video"].values())
         rows = spark.read.parquet(out).orderBy("rate").collect()
         assert [(r["rate"], r["urltype"], r["title"], r["url"]) for r in rows] == expected
 

@@ -5,8 +5,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from placelens.operators.attribution import INTERVAL, SLOT_KEYS, slot_report
 from placelens.sinks import jdbc as jdbc_sink
-from placelens.sinks.tables import replace_in_table, replace_one_part, replace_parts, result_rows
+from placelens.sinks.tables import new_table, replace_in_table, replace_one_part, replace_parts, result_rows
 from placelens.sources import jdbc
 
 RESULT = "dt string, hour string, title string, type1 string, url string, rate double"
@@ -29,10 +30,27 @@ def test_replace_parts(spark, tmp_path):
     for _ in range(2):
         replace_parts(rows(spark, "01", [7, 8, 9]), path)
         assert content(read()) == [("01", 7), ("01", 8), ("01", 9), ("02", 3)]
-    replace_one_part(rows(spark, "02", [5, 6]), path, {"dt": "20240115", "hour": "02"})
+    assert replace_one_part(rows(spark, "02", [5, 6]), path, {"dt": "20240115", "hour": "02"}) == 2
     assert content(read()) == [("01", 7), ("01", 8), ("01", 9), ("02", 5), ("02", 6)]
-    replace_one_part(rows(spark, "01", []), path, {"dt": "20240115", "hour": "01"})
+    assert replace_one_part(rows(spark, "01", []), path, {"dt": "20240115", "hour": "01"}) == 0
     assert content(read()) == [("02", 5), ("02", 6)]
+    none = spark.range(1000).where("id % 7 > 10").select(F.lit("t").alias("urltype"), "id").join(spark.range(5), "id")
+    assert replace_one_part(none, path, {"dt": "20240115", "hour": "02"}) == 0
+    assert content(read()) == []
+
+
+def test_a_replaced_part_is_computed_once(spark, tmp_path):
+    """The rows are counted while they are written: the accumulator sees each of them once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    source = spark.range(0, 500, 1, 4).mapInPandas(watched, "id bigint")
+    assert replace_one_part(source, str(tmp_path / "result"), {"dt": "20240115", "hour": "01"}) == 500
+    assert seen.value == 500
 
 
 def test_replace_in_table(spark):
@@ -44,6 +62,26 @@ def test_replace_in_table(spark):
     assert content(spark.table("results")) == [("01", 9), ("02", 3)]
 
 
+def test_bucketed_slots_are_not_shuffled(spark):
+    """The report joins traffic to a slot table in buckets by its key and interval: only the traffic is exchanged."""
+    spark.sql("DROP TABLE IF EXISTS bucketed_slots")
+    columns = [*SLOT_KEYS, *INTERVAL]
+    slots = spark.range(500).select(*(F.col("id").cast("string").alias(key) for key in SLOT_KEYS), *(F.col("id").alias(name) for name in INTERVAL))
+    new_table(slots.withColumn("dt", F.lit("20240115")), "bucketed_slots", ["dt"], 4, columns)
+    counted = slots.where("real_starttime < 100").withColumn("pv_active", F.lit(3))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = slot_report(spark.table("bucketed_slots"), counted)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        assert report.count() == 500 and report.where("pv_active = 3").count() == 100
+        plain = slot_report(slots.withColumn("dt", F.lit("x")), counted)
+        assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_replace_in_database(spark):
     url = "jdbc:derby:memory:sinks;create=true"
     empty = rows(spark, "01", [])

@@ -124,3 +124,29 @@ def test_synthetic_messages(spark):
     assert {len(message) for message in found} == set(range(1, synthetic.LONGEST + 1))
     assert set("".join(found)) == set(synthetic.ALPHABET)
     assert found == [row["value"] for row in messages.collect()]
+
+
+def test_jdbc_scan_by_quantiles(spark):
+    """Nine ids in ten lie in a tenth of the range, some are NULL, one comes often: no part is twice the mean, and no row is lost."""
+    url = "jdbc:derby:memory:quantiles;create=true"
+    skewed = spark.range(900).selectExpr("id * 11 % 1000 as id").unionByName(spark.range(100).selectExpr("1000 + id * 90 as id"))
+    skewed.unionByName(spark.range(20).selectExpr("CAST(NULL AS BIGINT) as id")).write.jdbc(url, "skewed", mode="overwrite")
+    even = jdbc.scan_evenly(spark, url, "skewed", "id", partitions=8)
+    sizes = [len(part) for part in even.rdd.glom().collect()]
+    assert sum(sizes) == 1020 and len(sizes) == 8 and max(sizes) < 2 * 1020 / 8
+    assert sorted(str(r.id) for r in even.collect()) == sorted(str(r.id) for r in jdbc.scan(spark, url, "skewed").collect())
+    strided = jdbc.scan(spark, url, "skewed", column="id", bounds=(0, 10_000), partitions=8)
+    assert max(len(part) for part in strided.rdd.glom().collect()) > 4 * 1020 / 8  # what equal ranges give
+    spark.range(50).selectExpr("CAST(IF(id < 40, 3, id) AS BIGINT) as id").write.jdbc(url, "busy", mode="overwrite")
+    assert jdbc.quantiles(spark, url, "busy", "id", 5) == [3, 40]
+    assert jdbc.scan_evenly(spark, url, "busy", "id", partitions=5).count() == 50
+    spark.range(0).write.jdbc(url, "empty", mode="overwrite")
+    assert jdbc.scan_evenly(spark, url, "empty", "id").count() == 0
+
+
+def test_range_predicates_of_dates():
+    import datetime as dt
+
+    cuts = [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    assert jdbc.range_predicates("d", cuts, "`") == ["`d` < '2024-01-01' OR `d` IS NULL", "`d` >= '2024-01-01' AND `d` < '2024-02-01'", "`d` >= '2024-02-01'"]
+    assert jdbc.range_predicates("d", []) == ["1 = 1"]

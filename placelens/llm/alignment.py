@@ -18,7 +18,7 @@ other columns are not looked at, whatever their names.
 """
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -102,8 +102,8 @@ def grouped(groups: np.ndarray, count: int) -> Csr:
 class Side(NamedTuple):
     """A tokenizer: ids of a text, and every id's bytes and their number."""
 
-    encode: object
-    entries: list[bytes]
+    encode: Callable[[str], np.ndarray]
+    entries: np.ndarray
     sizes: np.ndarray
 
 
@@ -133,7 +133,12 @@ def side(file: str) -> Side:
 
     if len(entries) > 65_536:
         raise ValueError("ids must fit 16 bits")
-    return Side(encode, entries, np.array([len(entry) for entry in entries]))
+    return Side(encode, np.array(entries, dtype=object), np.array([len(entry) for entry in entries]))
+
+
+def _joined(entries: np.ndarray, numbers: np.ndarray) -> bytes:
+    """The entries (byte strings) of these numbers in a row."""
+    return b"".join(entries[numbers].tolist())
 
 
 class Alignment:
@@ -143,7 +148,7 @@ class Alignment:
         self.a = self.b = np.empty(0, np.int64)
         if text:
             found, expected = (one.encode(text), other.encode(text)), b" " + text.encode()
-            if all(b"".join(map(s.entries.__getitem__, ids.tolist())) == expected for s, ids in zip((one, other), found)):
+            if all(_joined(s.entries, ids) == expected for s, ids in zip((one, other), found)):
                 self.a, self.b = found
         self.a_ends, self.b_ends = np.cumsum(one.sizes[self.a]), np.cumsum(other.sizes[self.b])
 
@@ -156,9 +161,12 @@ class Alignment:
         return Links(*(part[self.a_ends[links.a] == self.b_ends[links.b]] for part in links))
 
     def groups(self, together: Links) -> tuple[np.ndarray, np.ndarray, int]:
-        """The group of every token of either side, and how many groups there are."""
-        cuts = np.unique(self.a_ends[together.a])
-        return np.searchsorted(cuts, self.a_ends), np.searchsorted(cuts, self.b_ends), len(cuts)
+        """The group of every token of either side, and how many groups there are. A linked token is the last of its group."""
+        ends_group = (np.zeros(len(self.a), dtype=np.int64), np.zeros(len(self.b), dtype=np.int64))
+        for ends, linked in zip(ends_group, together):
+            ends[linked] = 1
+        one, other = (np.cumsum(ends) - ends for ends in ends_group)
+        return one, other, int(ends_group[0].sum())
 
     def sharing(self) -> Links:
         """Links of tokens that share a group; every pair shares one group, or none."""
@@ -167,21 +175,24 @@ class Alignment:
 
 
 @cache
-def _endings() -> list[str]:
+def _endings() -> np.ndarray:
     """Every id followed by a comma, a bar or a semicolon."""
-    return [f"{number}{mark}" for number in range(65_536) for mark in ",|;"]
+    return np.array([b"%d%c" % (number, mark) for number in range(65_536) for mark in b",|;"], dtype=object)
 
 
-def group_line(found: Alignment, one: np.ndarray, other: np.ndarray, count: int) -> str:
+def group_line(found: Alignment, one: np.ndarray, other: np.ndarray, count: int) -> bytes:
     """The groups of a text as `a1,a2|b1;a3|b2,b3`."""
     if not count:
-        return ""
-    number = np.arange(count + 1)
-    a_before, b_before = np.searchsorted(one, number), np.searchsorted(other, number)
+        return b""
+    a_sizes, b_sizes = np.bincount(one, minlength=count), np.bincount(other, minlength=count)
     marks = np.empty(len(one) + len(other), dtype=np.int64)
-    marks[np.arange(len(one)) + b_before[one]] = 3 * found.a + np.diff(one, append=count).astype(bool)
-    marks[np.arange(len(other)) + a_before[other + 1]] = 3 * found.b + 2 * np.diff(other, append=count).astype(bool)
-    return "".join(map(_endings().__getitem__, marks.tolist()))[:-1]
+    a_codes, b_codes = 3 * found.a, 3 * found.b
+    a_codes[np.cumsum(a_sizes) - 1] += 1
+    b_codes[np.cumsum(b_sizes) - 1] += 2
+    # The tokens of either side keep their order, and a group's a's come before its b's.
+    is_a = np.repeat(np.tile([True, False], count), np.stack([a_sizes, b_sizes], axis=1).ravel())
+    marks[is_a], marks[~is_a] = a_codes, b_codes
+    return _joined(_endings(), marks)[:-1]
 
 
 def links(docs: DataFrame, a_file: str, b_file: str, kind: str = "overlap", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,7 +240,7 @@ def _parts(docs: DataFrame, a_file: str, b_file: str, id_col: str, text_col: str
                     together = found.together()
                     a_groups, b_groups, count = found.groups(together)
                     line = group_line(found, a_groups, b_groups, count)
-                    digests = [len(found.a), len(found.b), count, len(together.a), line and hashlib.sha256(line.encode()).hexdigest()]
+                    digests = [len(found.a), len(found.b), count, len(together.a), hashlib.sha256(line).hexdigest() if line else ""]
                     pairs = (found.a[together.a] << 16 | found.b[together.b]).astype("<u4")
                     for at in range(0, max(1, len(pairs)), CHUNK):
                         part = pairs[at : at + CHUNK]

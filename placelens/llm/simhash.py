@@ -8,7 +8,8 @@ for each segment. If two fingerprints differ in at most `bits` = segments * a +
 first b + 1 segments differs in at most a bits, or one of the others in at most a - 1. So every fingerprint is stored in each table
 under its own segment, enumerates the small Hamming ball around that segment, fetches the matches and verifies
 the complete distance. Of a ball only the segments above the own one are looked up: the pair is found from its other end.
-How many segments are best hangs on the number of fingerprints alone; any number finds every link.
+How many segments are best hangs on the number of fingerprints alone; any number finds every link. The look-ups grow with it, slowly: 281 rows a
+fingerprint at a thousand million fingerprints.
 
 Buckets of more than `BUSY` fingerprints are not paired up. Two fingerprints at `bits` = 4 or fewer differing bits have a point
 between them that is at most 2 bits from either, so each member of a busy bucket emits the ball around its other bits (radius 2,

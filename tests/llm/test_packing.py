@@ -95,3 +95,30 @@ def test_like_documents_stand_together(spark):
     found = sorted(packing.pack(docs, FILE).collect(), key=lambda r: (r.sequence_id, r.offset))
     order = [row.id % 2 for row in found if row.start == 0]
     assert sum(a != b for a, b in zip(order, order[1:])) <= 5
+
+
+def test_line_against_a_plain_sort(spark):
+    """Documents stand in the order of their cells' places, computed one by one from the tokenizer's ids."""
+    words = [f"w{n}" for n in range(40)]
+    random = np.random.default_rng(3)
+    rows = [(i, " ".join(random.choice(words, random.integers(1, 30)))) for i in range(150)] + [(500, None), (501, "")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    axes = np.random.default_rng(packing.SEED).standard_normal((packing.HASHED, packing.DIMENSIONS))
+    keyed = []
+    for place, (i, text) in enumerate(rows):
+        counts = np.zeros(packing.HASHED)
+        for token in _ids(text):
+            counts[(token * 40503 % 2**32 >> 7) % packing.HASHED] += 1
+        spread = np.tanh(np.sqrt(counts) / np.sqrt(counts.sum()) @ axes)
+        cell = [min(int((x + 1) / 2 * 2**packing.LEVELS), 2**packing.LEVELS - 1) for x in spread]
+        keyed.append((packing._hilbert(np.array([cell]), packing.LEVELS)[0], i))
+    found = sorted(packing.pack(docs, FILE).where("start = 0").collect(), key=lambda r: (r.sequence_id, r.offset))
+    by_key = {}
+    for key, i in keyed:
+        by_key.setdefault(key, []).append(i)
+    at = 0
+    for key in sorted(by_key):
+        some = [r.id for r in found[at : at + len(by_key[key])]]
+        assert sorted(some) == sorted(by_key[key])
+        at += len(some)
+    assert at == len(found)

@@ -10,13 +10,34 @@ SF_DIR = "/root/testdata/sf0.01"
 PLAIN = str.maketrans(UPPER, LOWER)
 
 
-def test_stages_on_odd_tables(spark, odd_docs, no_docs):
-    for docs in (odd_docs, no_docs):
-        columns = docs.columns
-        for _, stage in corpus_pipeline.STAGES[:-1]:
+def test_stages_on_odd_tables(spark, odd_docs, odd_rows, no_docs):
+    """Which rows each stage keeps of nulls, ties, repeated rows and very long texts, by plain rules."""
+    for docs, rows in ((odd_docs, odd_rows), (no_docs, [])):
+        columns, kept = docs.columns, {}
+        for name, stage in corpus_pipeline.STAGES[:-1]:
             docs = stored(stage(spark, docs, SF_DIR), "stage")
             assert docs.columns == columns
-        corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+            kept[name] = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        lettered = [(i, text) for i, text, *_ in rows if any(map(str.isalpha, text or ""))]
+        assert sorted(kept["language ID"], key=str) == sorted(lettered, key=str)
+        largest = {}
+        for i, text in lettered:
+            key = text.translate(PLAIN)
+            largest[key] = max(largest.get(key, -1), -1 if i is None else i)
+        assert sorted(i for i, _ in kept["exact dedup"]) == sorted(largest.values())
+        prints = [(i, simhash.fingerprint(text)) for i, text in kept["exact dedup"]]
+        linked = {i: [j for j, q in prints if (p ^ q).bit_count() <= simhash.BITS] for i, p in prints}
+        stay = {i for i, _ in kept["SimHash near-dedup"]}
+        assert all(min(near) in stay for i, near in linked.items() if len(near) == 1)
+        assert all(len(stay & set(near)) <= 1 for near in linked.values())
+        copies = Counter(i for i, _ in kept["mixing"])
+        assert set(copies) <= stay and all(n <= 2 for n in copies.values())
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
+        assert Counter(r.doc_id for r in pieces if r.start == 0) == copies
+        fill = Counter()
+        for r in pieces:
+            fill[r.sequence_id] += r.length
+        assert sum(n != 1024 for n in fill.values()) <= 1
 
 
 def test_language_stage_keeps_all_texts_with_a_letter(spark, odd_docs, odd_rows):

@@ -24,15 +24,15 @@ def measurable(df: DataFrame) -> bool:
     return all(re.fullmatch(flat, kind) for _, kind in df.dtypes)
 
 
-def fits_broadcast(df: DataFrame, copies: Column | None = None, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows of `df`, each counted `copies` times, measure at most `limit` bytes.
+def fits_broadcast(df: DataFrame, copies: Column | None = None, limit: int | None = None) -> bool:
+    """Whether the rows of `df`, each counted `copies` times, measure at most `limit` bytes (`BROADCAST_BYTES` without one).
 
     One aggregate with one row to the driver; no estimate is involved. Rows with a column that can't be measured never fit.
     """
     if not measurable(df):
         return False
     size = row_bytes(df) if copies is None else row_bytes(df) * copies
-    return (df.agg(F.sum(size)).first()[0] or 0) <= limit
+    return (df.agg(F.sum(size)).first()[0] or 0) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def sized(side: DataFrame, fits: bool) -> DataFrame:

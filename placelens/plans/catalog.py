@@ -51,11 +51,30 @@ def _rooms(spark, sf_dir, day=None):
     return logs.live_rooms(inputs.room_table(spark, sf_dir), day, appid="BUILDING")
 
 
-def _by_day(table, name):
+_prepared: dict[tuple[str, str, str], str] = {}
+
+
+def prepared(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder of an input in the form it is kept in, written by the first query of a session that needs it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _prepared:
+        path = shared_folder(spark, name)
+        write(path)
+        _prepared[key] = path
+    return _prepared[key]
+
+
+def _by_day(table, sf_dir, name):
     """The table as it is kept: in one folder per `dt`."""
-    path = shared_folder(table.sparkSession, name)
-    table.hint("rebalance", F.col("dt")).write.partitionBy("dt").parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
+    spark, balanced = table.sparkSession, table.hint("rebalance", F.col("dt"))
+    path = prepared(spark, sf_dir, name, lambda folder: balanced.write.partitionBy("dt").parquet(folder))
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def _lines_by_tag(lines, sf_dir, name):
+    """The folder of lines of text as they are kept: in one folder per `dt`."""
+    balanced = lines.hint("rebalance", F.col("dt"))
+    return prepared(lines.sparkSession, sf_dir, name, lambda folder: balanced.write.partitionBy("dt").text(folder))
 
 
 def _slots(spark, sf_dir):
@@ -64,12 +83,12 @@ def _slots(spark, sf_dir):
 
 def _clicks(spark, sf_dir, day=None, **options):
     table = inputs.click_table(spark, sf_dir)
-    return logs.click_log(_by_day(table, "clicks") if day else table, day, apptypeid="main", suptop="0001", **options)
+    return logs.click_log(_by_day(table, sf_dir, "clicks") if day else table, day, apptypeid="main", suptop="0001", **options)
 
 
 def _views(spark, sf_dir, day=None):
     table = inputs.view_table(spark, sf_dir)
-    return logs.view_log(_by_day(table, "views") if day else table, day, domain="main", newstag="0001")
+    return logs.view_log(_by_day(table, sf_dir, "views") if day else table, day, domain="main", newstag="0001")
 
 
 def _report(spark, sf_dir, day=None):
@@ -292,13 +311,11 @@ def tsv_score_parse(spark, sf_dir):
 
 def _text_table(spark, sf_dir, tag_format):
     """Write all events as lines `id <tab> value` in one folder per tag."""
-    root = shared_folder(spark, "lines")
     lines = inputs.events(spark, sf_dir).select(
         F.concat_ws("\t", F.col("event_id").cast("string"), F.col("value").cast("string")).alias("value"),
         F.date_format("ts", tag_format).alias("dt"),
     )
-    lines.hint("rebalance", F.col("dt")).write.partitionBy("dt").text(root)
-    return root
+    return _lines_by_tag(lines, sf_dir, f"lines-{tag_format}")
 
 
 @query
@@ -357,14 +374,9 @@ def replace_table_sink(spark, sf_dir):
 def score_enrichment_run(spark, sf_dir):
     """One hour from text tables to the result: days of three catalogues, scores, priority, and the hour replaced twice."""
     day, hour = SCORE_RUN[:8], SCORE_RUN[8:]
-
-    def kept(lines, name):
-        root = shared_folder(spark, name)
-        lines.hint("rebalance", F.col("dt")).write.partitionBy("dt").text(root)
-        return root
-
-    roots = [kept(lines, "catalogue-text") for lines in inputs.catalogue_text(spark, sf_dir, day)]
-    texts = ScoreInputs(kept(inputs.score_text(spark, sf_dir), "score-text"), *roots)
+    catalogues = enumerate(inputs.catalogue_text(spark, sf_dir, day))
+    roots = [_lines_by_tag(lines, sf_dir, f"catalogue-text-{number}") for number, lines in catalogues]
+    texts = ScoreInputs(_lines_by_tag(inputs.score_text(spark, sf_dir), sf_dir, "score-text"), *roots)
     rows = written(table_sink.result_rows(score_enrichment(spark, SCORE_RUN, texts)), "enriched")
     path = shared_folder(spark, "result")
     for _ in range(2):

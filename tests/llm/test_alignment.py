@@ -125,6 +125,11 @@ def test_texts_in_several_chunks(spark, odd_rows, monkeypatch):
     assert _found(alignment.aligned(docs.coalesce(2), A_FILE, B_FILE)) == _report(rows)
 
 
+def test_only_texts_without_tokens(spark):
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "a▁b"), (None, None)], "doc_id bigint, text string")
+    assert _found(alignment.aligned(docs, A_FILE, B_FILE)) == sorted([(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2, 3, None)], key=str)
+
+
 def test_long_texts(spark, odd_docs):
     found = {row.id: row for row in alignment.aligned(odd_docs.where("doc_id IN (8, 9, 10)"), A_FILE, B_FILE).collect()}
     for row in odd_docs.where("doc_id IN (8, 9, 10)").collect():

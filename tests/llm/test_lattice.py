@@ -109,6 +109,11 @@ def test_odd_rows(spark):
     assert linked(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_only_rows_that_take_no_part(spark):
+    rows = [(1, None, 1), (2, [0.0], 1), (3, [1.0], None), (None, None, None)]
+    assert _found(linked(_table(spark, rows))) == _brute(rows)
+
+
 def test_many_near_copies_give_no_pairs(spark):
     """A tight cluster of many different vectors: every task returns rows, not pairs."""
     random = np.random.default_rng(5)

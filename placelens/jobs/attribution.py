@@ -12,7 +12,7 @@ from placelens.functions.urls import url_key, url_key_offset
 from placelens.jobs.options import add_jdbc, pair
 from placelens.plans.attribution import PAGE_SOURCETYPES, VIDEO_SOURCETYPES, attribution_report
 from placelens.session import build_session, remove_written, written
-from placelens.sources.jdbc import bounds, scan
+from placelens.sources.jdbc import bounds, scan, scan_evenly
 from placelens.sources.logs import click_log, live_rooms, position_history, view_log
 
 
@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
         parser.add_argument(f"--{table}-filter", type=pair, action="append", default=[], help="column=value")
     parser.add_argument("--database", help="current database for the catalogue tables")
     parser.add_argument("--partition-column", help="whole-number column by whose ranges the histories are read in parallel")
+    parser.add_argument("--by-quantiles", action="store_true", help="ranges of like many rows, which the database is asked for, not of like width")
     parser.add_argument("--partitions", type=int, default=8, help="ranges of the partition column")
     parser.add_argument("--quote", default='"', help="the database's mark around column names")
     parser.add_argument("--offset-key", action="store_true", help="clicks on a URL without an id have the empty key")
@@ -51,6 +52,8 @@ def history(table: DataFrame, sourcetypes: tuple[str, ...], filters: dict[str, s
 def history_table(spark: SparkSession, args: argparse.Namespace, table: str) -> DataFrame:
     """A history in the database, read in ranges if there is a column for it."""
     properties, column = dict(args.jdbc_option), args.partition_column
+    if column and args.by_quantiles:
+        return scan_evenly(spark, args.jdbc_url, table, column, properties, args.partitions, args.quote)
     ends = bounds(spark, args.jdbc_url, table, column, properties, args.quote) if column else None
     return scan(spark, args.jdbc_url, table, properties, column if ends else None, ends, args.partitions)
 

@@ -4,6 +4,8 @@ A run counts only the log rows of its own ten minutes, per slot and visitor, and
 the visitors of a slot with how often each came. The day's unique visitors are those of the union of its increments, so no run reads what an earlier one has
 counted, and the log of the day is read once in all. A run that is delivered again replaces its own part, and changes nothing.
 
+Intervals are taken as they are when a run is delivered. Where an edit has changed a slot's interval since, the runs that counted it as it was are delivered again.
+
 An increment has at most as many rows as its minutes have log rows; increments of a busy slot are spread over tasks by visitor when they are merged.
 """
 

@@ -135,6 +135,9 @@ def test_attribution_job(spark, tmp_path, capfd):
         given = attribution_job.parser().parse_args(parallel)
         assert attribution_job.history_table(spark, given, "page_history").rdd.getNumPartitions() == 4
         assert rows_of(attribution_job.report(spark, given)) == found
+    even = attribution_job.parser().parse_args([*parallel, "--by-quantiles"])
+    assert attribution_job.history_table(spark, even, "page_history").rdd.getNumPartitions() == 4
+    assert rows_of(attribution_job.report(spark, even)) == found
     out = str(tmp_path / "report")
     attribution_job.deliver(report, attribution_job.parser().parse_args([*arguments, "--output", out]))
     assert rows_of(spark.read.parquet(out)) == found

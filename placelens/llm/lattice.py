@@ -9,10 +9,10 @@ exact cosine, and a pair that shares several entries is counted in the smallest
 What the shuffle carries: vectors equal in label and every component are one class first, counted. Entries of one class alone are
 dropped before vectors are attached. Small entries meet in tasks of about `TASK_ROWS` rows; an entry of more than `BLOCK` classes is cut into blocks, and
 every two blocks are a task. Tasks give back a count and the local component of each linked class, never pairs, so
-the output is linear even where thousands of vectors are near each other. Rows times entries (about five a table) is what is shuffled.
+the output is linear even where thousands of vectors are near each other. Rows times entries (about five a table) is the most that is shuffled.
 
-On vectors of 64 numbers, the share of pairs found at a cosine of exactly 0.98, 0.985 and 0.99 is 0.998, 0.9999 and 1.0 with two lattices
-and two tables; a vector meets about one in 400 of its label's others there if they are spread at random. More lattices (and tables) make entries smaller.
+On 6,000 random vectors of 64 numbers, the share of pairs found at a cosine of exactly 0.98, 0.985 and 0.99 is 0.9993, 0.9998 and 1.0 with two lattices
+and two tables; a vector has ten entries on average and meets one in 340 of the others. More lattices (and tables) make entries smaller.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components and rows whose label is null have no links and are their own
 component; vectors of different length are never compared; equal vectors are linked, also rows repeated as a whole, and count each; a row with a null id counts as a vector,

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from placelens.llm.common import stored
+from placelens.operators.joins import fits_broadcast, sized
 
 SHARD_ROWS = 16_384
 BLOCK_ROWS = 4_096
@@ -256,8 +257,8 @@ def _searched(asked: DataFrame, dealt: DataFrame, sizes: DataFrame, k: int, fact
     `sizes`: width, leaf, shards (that the leaf's rows are dealt to).
     """
     blocks = F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("blocks")
-    plan = sizes.join(asked.groupBy("width", "leaf").agg(blocks), ["width", "leaf"])
-    plan = F.broadcast(stored(plan, "search-plan"))  # at most ROUTES rows for each length of vectors
+    plan = stored(sizes.join(asked.groupBy("width", "leaf").agg(blocks), ["width", "leaf"]), "search-plan")
+    plan = sized(plan, fits_broadcast(plan))  # at most ROUTES rows for each length of vectors
     hashed = F.xxhash64("id", "vector")
     rows = dealt.join(plan, ["width", "leaf"]).withColumn("shard", F.pmod(hashed, F.col("shards")).cast("int"))
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -4,11 +4,11 @@ from collections import Counter
 
 import pytest
 
-from placelens.llm import common, mixing, queries
+from placelens.llm import ann, common, mixing, queries
 from placelens.operators import joins
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = ["op1_exact_dedup", "op3_sharding", "op4_simhash", "op5_mixing", "op9_url_rules", "op11_embedding_dedup"]
+NAMES = ["op1_exact_dedup", "op3_sharding", "op4_simhash", "op5_mixing", "op6_nearest", "op9_url_rules", "op11_embedding_dedup"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -21,7 +21,7 @@ def test_same_results_without_broadcasts(spark, monkeypatch, name):
         watched.append(fits)
         return real(side, fits)
 
-    for module in (common, mixing):  # both hold it under their own name
+    for module in (ann, common, mixing):  # they hold it under their own name
         monkeypatch.setattr(module, "sized", sized)
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
     assert Counter(map(tuple, query(spark, SF_DIR).collect())) == expected
